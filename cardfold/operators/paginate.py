@@ -63,57 +63,82 @@ def _open_categories(walk: DataFrame, limit: int) -> DataFrame:
     )
 
 
-def walk_pages(seeds: DataFrame, pages: DataFrame, limit: int, max_pages: int) -> DataFrame:
-    """Distinct pages of every category's path in order, at least as far as the
-    limit reaches: ``seq, step, url, before`` plus the page's own columns."""
-
-    def look_up(rows: DataFrame) -> DataFrame:
-        found = rows.join(pages.drop("next_url"), "url", "left")
-        return found.fillna({"ok": False, "n_cards": 0, "lead": 0}).withColumn(
-            "named", F.coalesce("named", F.array().cast("array<int>"))
+def _first_hops(pages: DataFrame) -> DataFrame:
+    """``url, to, gain`` and what is known of the page it leads to."""
+    target = pages.select(
+        F.col("url").alias("to"),
+        F.struct("ok", "n_cards", "lead").alias("page"),
+    )
+    return (
+        pages.where(F.col("ok") & F.col("next_url").isNotNull())
+        .select(
+            "url", F.col("next_url").alias("to"), F.size("named").cast("long").alias("gain")
         )
+        .join(target, "to", "left")
+        .select("url", "to", "gain", "page")
+    )
+
 
+def _doubled(hops: DataFrame) -> DataFrame:
+    after = hops.select(
+        F.col("url").alias("to"),
+        F.col("to").alias("beyond"),
+        F.col("gain").alias("more"),
+        F.col("page").alias("there"),
+    )
+    return hops.join(after, "to").select(
+        "url",
+        F.col("beyond").alias("to"),
+        (F.col("gain") + F.col("more")).alias("gain"),
+        F.col("there").alias("page"),
+    )
+
+
+def _steps(rows: DataFrame) -> DataFrame:
+    """Path rows with the page facts that the limit check needs."""
+    return rows.select(
+        "seq",
+        "step",
+        "url",
+        "before",
+        F.coalesce("page.ok", F.lit(False)).alias("ok"),
+        F.coalesce("page.n_cards", F.lit(0)).alias("n_cards"),
+        F.coalesce("page.lead", F.lit(0)).alias("lead"),
+    )
+
+
+def walk_pages(seeds: DataFrame, pages: DataFrame, limit: int, max_pages: int) -> DataFrame:
+    """Distinct pages of every category's path, at least as far as the limit
+    reaches: ``seq, step, url, before, ok, n_cards, lead, named``."""
+    known = pages.select("url", F.struct("ok", "n_cards", "lead").alias("page"))
     start = seeds.select(
         "seq", "url", F.lit(0).alias("step"), F.lit(0).cast("long").alias("before")
     )
-    walk = materialize(look_up(start), "walk")
+    walk = materialize(_steps(start.join(known, "url", "left")), "walk")
     hops, reach = None, 1
     while max_pages == 0 or reach < max_pages:
-        open_seqs = _open_categories(walk, limit)
-        if open_seqs.isEmpty():
-            break
-        if hops is None:
-            hops = pages.where(F.col("ok") & F.col("next_url").isNotNull()).select(
-                "url",
-                F.col("next_url").alias("to"),
-                F.size("named").cast("long").alias("gain"),
-            )
-        else:
-            after = hops.select(
-                F.col("url").alias("to"), F.col("to").alias("beyond"), F.col("gain").alias("more")
-            )
-            hops = materialize(
-                hops.join(after, "to").select(
-                    "url", F.col("beyond").alias("to"), (F.col("gain") + F.col("more")).alias("gain")
-                ),
-                "hops",
-            )
+        hops = materialize(_first_hops(pages) if hops is None else _doubled(hops), "hops")
         ahead = (
-            walk.join(open_seqs, "seq", "left_semi")
+            walk.join(_open_categories(walk, limit), "seq", "left_semi")
             .join(hops, "url")
             .groupBy("seq", F.col("to").alias("url"))
             .agg(
                 (F.min("step") + reach).alias("step"),
                 F.min(F.col("before") + F.col("gain")).alias("before"),
+                F.first("page").alias("page"),
             )
             .join(walk.select("seq", "url"), ["seq", "url"], "left_anti")
         )
-        fresh = materialize(look_up(ahead), "walk")
+        fresh = materialize(_steps(ahead), "walk")
         if fresh.isEmpty():
             break
         walk = walk.unionByName(fresh)
         reach *= 2
-    return walk.where(F.col("step") < max_pages) if max_pages > 0 else walk
+    if max_pages > 0:
+        walk = walk.where(F.col("step") < max_pages)
+    return walk.join(pages.select("url", "named"), "url", "left").withColumn(
+        "named", F.coalesce("named", F.array().cast("array<int>"))
+    )
 
 
 def _spans(path: DataFrame, limit: int) -> DataFrame:
@@ -193,7 +218,7 @@ def paginate(
         F.coalesce("named", F.array().cast("array<int>")).alias("named"),
         F.size(F.filter("named", lambda position, i: position == i + 1)).alias("lead"),
     )
-    path = walk_pages(seeds, pages, limit_per_category, max_pages)
+    path = materialize(walk_pages(seeds, pages, limit_per_category, max_pages), "path")
     spans = _spans(path, limit_per_category)
     visits = materialize(
         path.join(spans, "seq")

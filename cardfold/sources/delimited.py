@@ -68,10 +68,11 @@ def read_master(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _write_csv(df: DataFrame, path: str, quote_all: bool) -> None:
+    # Records end in LF: with CRLF the writer would also turn every line break
+    # inside a value into CRLF.
     (
         df.write.mode("overwrite")
         .options(header=True, quoteAll=quote_all, escape='"', emptyValue='""' if quote_all else "")
-        .option("lineSep", "\r\n")
         .csv(path)
     )
 
