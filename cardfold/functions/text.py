@@ -7,6 +7,12 @@ from pyspark.sql import Column, functions as F
 # Whitespace as Python's str methods see it: Java's \s lacks the separators
 # U+001C..U+001F, NEL and every non-ASCII space.
 WS = r"[\s\x1c-\x1f\x{0085}\p{Z}]"
+# The same characters one by one.
+_WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+)
+
 _RUN = rf"{WS}{{2,}}|[{WS}&&[^ ]]"
 
 _LETTER = "A-Za-zİıſK"  # letters under case-insensitive [A-Z]
@@ -23,7 +29,7 @@ _TOKEN = (
 
 def strip(c: Column) -> Column:
     """Drop whitespace at both ends."""
-    return F.regexp_replace(c, rf"\A{WS}+|{WS}+\z", "")
+    return F.btrim(c, F.lit(_WS_CHARS))
 
 
 def collapse(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from cardfold.functions.text import WS, strip
+from cardfold.functions.text import strip
 
 _PARTS = r"(?s)\A(?i:(https?)):(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?\z"
 
@@ -23,6 +23,20 @@ def _path(c: Column) -> Column:
     return F.regexp_replace(_part(c, 3), r"(?s);[^/]*\z", "")
 
 
+# Everything of a URL that its canonical form drops: scheme and host (put back
+# in lower case), an empty query, the fragment, the parameters of the last path
+# segment, trailing slashes of the path and all but one of several slashes. A
+# query is matched first, up to its end, and kept.
+_DROPPED = (
+    r"(?s)\A[^:]*://[^/?#]*"
+    r"|(\?[^#]+)(?:#.*)?\z"
+    r"|\??(?:#.*)\z|\?\z"
+    r"|;[^/?#]*(?=[?#]|\z)"
+    r"|/+(?=(?:;[^/?#]*)?(?:[?#]|\z))"
+    r"|/(?=/)"
+)
+
+
 def clean_url(c: Column) -> Column:
     """Canonical http(s) URL: https by default, lower-case scheme and host, no
     duplicate or trailing slashes, no fragment; the query is kept."""
@@ -30,17 +44,9 @@ def clean_url(c: Column) -> Column:
     value = _plain(
         F.when(text.rlike(r"\A(?i:https?)://"), text).otherwise(F.concat(F.lit("https://"), text))
     )
-    host = F.lower(_part(value, 2))
-    query = _part(value, 4)
-    path = F.rtrim(F.regexp_replace(_path(value), "/{2,}", "/"), F.lit("/"))
-    joined = F.concat(
-        F.lower(_part(value, 1)),
-        F.lit("://"),
-        host,
-        path,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
-    )
-    return F.when((text != "") & (host != ""), F.rtrim(joined, F.lit("/")))
+    site = F.regexp_extract(value, r"\A[^:]*://[^/?#]+", 0)
+    joined = F.concat(F.lower(site), F.regexp_replace(value, _DROPPED, "$1"))
+    return F.when(site != "", F.rtrim(joined, F.lit("/")))
 
 
 def normalize_input_url(c: Column) -> Column:

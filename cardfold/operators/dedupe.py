@@ -26,27 +26,40 @@ _MAX_ORD = 1 << 59
 _SPLIT_ROWS = 1_000_000
 
 
-def record_aliases() -> Column:
-    """Aliases of a record in order of precedence, as ``(rank, alias)``."""
-    name = F.lower(F.coalesce(clean_text(F.col("business_name")), F.lit("")))
-    phone = phone_match_key(F.col("phone"))
-    region = F.lower(clean_text(F.col("region")))
+def alias_rows(records: DataFrame, *keep: Column) -> DataFrame:
+    """Aliases of every record in order of precedence: ``ord``, kept columns,
+    ``rank``, ``alias``.
 
-    def alias(rank: int, present: Column, *parts: Column) -> Column:
+    The keys are plain columns of their own first, so each is computed once.
+    """
+    keys = records.select(
+        "ord",
+        *keep,
+        F.lower(F.coalesce(clean_text(F.col("business_name")), F.lit(""))).alias("_name"),
+        phone_match_key(F.col("phone")).alias("_phone"),
+        F.lower(clean_text(F.col("region"))).alias("_region"),
+        clean_url(F.col("listing_url")).alias("_url"),
+        F.coalesce(clean_text(F.col("source_url")), F.lit("")).alias("_source"),
+    )
+    named = F.col("_name") != ""
+
+    def alias(rank: int, present: Column, *parts: str) -> Column:
+        # The separator is never part of collapsed text.
         key = F.concat_ws("\x1f", F.lit(str(rank)), *parts)
         return F.when(present, F.struct(F.lit(rank).alias("rank"), key.alias("alias")))
 
-    url = clean_url(F.col("listing_url"))
-    named = name != ""
-    known = F.array_compact(
-        F.array(
-            alias(0, url.isNotNull(), url),
-            alias(1, named & phone.isNotNull(), name, phone),
-            alias(2, named & region.isNotNull(), name, region),
-        )
+    by_url = F.col("_url").isNotNull()
+    by_phone = named & F.col("_phone").isNotNull()
+    by_region = named & F.col("_region").isNotNull()
+    aliases = F.array(
+        alias(0, by_url, "_url"),
+        alias(1, by_phone, "_name", "_phone"),
+        alias(2, by_region, "_name", "_region"),
+        alias(3, ~(by_url | by_phone | by_region), "_name", "_source"),
     )
-    alone = alias(3, F.lit(True), name, F.coalesce(clean_text(F.col("source_url")), F.lit("")))
-    return F.when(F.size(known) > 0, known).otherwise(F.array(alone))
+    kept = [name for name in keys.columns if not name.startswith("_")]
+    rows = keys.select(*kept, F.explode(aliases).alias("a"))
+    return rows.where(F.col("a").isNotNull()).select(*kept, "a.rank", "a.alias")
 
 
 def _score(ord_: Column, filled: Column) -> Column:
@@ -58,15 +71,14 @@ def _ord_of(score: Column) -> Column:
     return F.pmod(-score, F.lit(_MAX_ORD))
 
 
-def _latest_anchor(events: DataFrame, split_rows: int) -> DataFrame:
+def _latest_anchor(events: DataFrame, size: int, split_rows: int) -> DataFrame:
     """For each chooser the latest earlier anchor of its alias: ``(ord, parent)``.
 
-    ``events`` has ``alias, ord, first, anchor``. Large inputs are first cut into
-    ranges of ``ord``; a hot alias is then sorted range by range, and only one
+    ``events`` has ``alias, ord, first, anchor`` and at most ``size`` rows. Large
+    inputs are first cut into ranges of ``ord``; a hot alias is then sorted range by range, and only one
     row per alias and range carries its last anchor over.
     """
     anchor_ord = F.when(F.col("anchor"), F.col("ord"))
-    size = events.count()
     if size <= split_rows:
         earlier = Window.partitionBy("alias").orderBy("ord").rowsBetween(
             Window.unboundedPreceding, -1
@@ -112,11 +124,8 @@ def _roots(edges: DataFrame) -> DataFrame:
 def _shared_aliases(records: DataFrame) -> DataFrame:
     """Records that share an alias with another: their shared aliases with the
     first holder of each, and the alias they join a group through, if any."""
-    holders = records.select(
-        "ord",
-        completeness(*[F.col(name) for name in OUTPUT_FIELDS]).alias("filled"),
-        F.inline(record_aliases()),
-    )
+    filled = completeness(*[F.col(name) for name in OUTPUT_FIELDS])
+    holders = alias_rows(records, filled.alias("filled"))
     firsts = (
         holders.groupBy("alias")
         .agg(F.min("ord").alias("first"), F.count("*").alias("n"))
@@ -157,7 +166,8 @@ def parent_edges(shared: DataFrame, split_rows: int = _SPLIT_ROWS) -> DataFrame:
     events = via_name.select(*columns, F.lit(False).alias("anchor")).unionByName(
         anchors.select(*columns, F.lit(True).alias("anchor"))
     )
-    return direct.unionByName(_latest_anchor(events, split_rows))
+    # A record is an event once per name alias, so twice at most.
+    return direct.unionByName(_latest_anchor(events, 2 * shared.count(), split_rows))
 
 
 def group_winners(records: DataFrame, split_rows: int = _SPLIT_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -202,14 +212,16 @@ def deduplicate(records: DataFrame, split_rows: int = _SPLIT_ROWS) -> DataFrame:
 def founders(records: DataFrame) -> DataFrame:
     """Only the ``ord`` of the records that open a group: no loop, no join back
     of whole records. Their number is the size of the deduplicated table."""
-    holders = records.select("ord", F.inline(record_aliases()))
-    firsts = holders.groupBy("alias").agg(F.min("ord").alias("first"))
-    # A founder is the first holder of every alias it has.
-    held = F.size(record_aliases())
-    opened = firsts.groupBy(F.col("first").alias("ord")).agg(F.count("*").alias("n_first"))
+    # A founder is the first holder of every alias it has: per record, count
+    # its aliases and those it is the first holder of.
+    holders = alias_rows(records)
+    firsts = holders.groupBy("alias").agg(F.min("ord").alias("ord"))
+    held = holders.select("ord", F.lit(1).alias("held"), F.lit(0).alias("opened"))
+    opened = firsts.select("ord", F.lit(0).alias("held"), F.lit(1).alias("opened"))
     return (
-        records.select("ord", held.alias("n_aliases"))
-        .join(opened, "ord")
-        .where(F.col("n_first") == F.col("n_aliases"))
+        held.unionByName(opened)
+        .groupBy("ord")
+        .agg(F.sum("held").alias("held"), F.sum("opened").alias("opened"))
+        .where(F.col("held") == F.col("opened"))
         .select("ord")
     )

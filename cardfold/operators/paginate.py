@@ -115,25 +115,37 @@ def walk_pages(seeds: DataFrame, pages: DataFrame, limit: int, max_pages: int) -
         "seq", "url", F.lit(0).alias("step"), F.lit(0).cast("long").alias("before")
     )
     walk = materialize(_steps(start.join(known, "url", "left")), "walk")
-    hops, reach = None, 1
+    hops, reach, size = None, 1, -1
     while max_pages == 0 or reach < max_pages:
         hops = materialize(_first_hops(pages) if hops is None else _doubled(hops), "hops")
         ahead = (
             walk.join(_open_categories(walk, limit), "seq", "left_semi")
             .join(hops, "url")
-            .groupBy("seq", F.col("to").alias("url"))
-            .agg(
-                (F.min("step") + reach).alias("step"),
-                F.min(F.col("before") + F.col("gain")).alias("before"),
-                F.first("page").alias("page"),
+            .select(
+                "seq",
+                (F.col("step") + reach).alias("step"),
+                F.col("to").alias("url"),
+                (F.col("before") + F.col("gain")).alias("before"),
+                "page",
             )
-            .join(walk.select("seq", "url"), ["seq", "url"], "left_anti")
         )
-        fresh = materialize(_steps(ahead), "walk")
-        if fresh.isEmpty():
+        # A page met again keeps its first place: that ends cycles.
+        walk = materialize(
+            walk.unionByName(_steps(ahead))
+            .groupBy("seq", "url")
+            .agg(
+                F.min("step").alias("step"),
+                F.min("before").alias("before"),
+                F.max("ok").alias("ok"),
+                F.max("n_cards").alias("n_cards"),
+                F.max("lead").alias("lead"),
+            ),
+            "walk",
+        )
+        grown = walk.count()
+        if grown == size:
             break
-        walk = walk.unionByName(fresh)
-        reach *= 2
+        size, reach = grown, reach * 2
     if max_pages > 0:
         walk = walk.where(F.col("step") < max_pages)
     return walk.join(pages.select("url", "named"), "url", "left").withColumn(

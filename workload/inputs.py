@@ -21,7 +21,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three spellings of each firm; some third spellings bridge to another."""
-    customer, nation = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
+    customer, nation = spread(read(spark, sf_dir, "customer")), read(spark, sf_dir, "nation")
     return (
         customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
         .selectExpr("*", "c_custkey DIV 3 AS k", "c_custkey % 3 AS v")
@@ -45,7 +45,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as directory cards: category, page range, card markup."""
-    return read(spark, sf_dir, "part").selectExpr(
+    return spread(read(spark, sf_dir, "part")).selectExpr(
         "p_partkey AS k",
         "p_name",
         "p_brand",
@@ -77,8 +77,10 @@ def category_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = part_rows(spark, sf_dir)
     last = parts.agg(F.max("b").alias("last_b"))
     last_b = last.first()["last_b"]  # one number
-    # At most CARDS_PER_RANGE rows meet in a group.
-    cards = parts.groupBy("cat", "b").agg(
+    # At most CARDS_PER_RANGE rows meet in a group. The fixed number of partitions
+    # keeps AQE from merging pages that are small to move but slow to parse.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cards = parts.repartition(tasks, "cat", "b").groupBy("cat", "b").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("k", "card"))), lambda c: c["card"]), ""
         ).alias("cards")
@@ -102,7 +104,7 @@ def category_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot of detail pages: one per part; failures succeed on retry."""
-    parts = read(spark, sf_dir, "part").selectExpr(
+    parts = spread(read(spark, sf_dir, "part")).selectExpr(
         "p_partkey AS k", "p_brand", "p_size", "explode(sequence(1, IF(p_partkey % 5 = 0, 2, 1))) AS attempt"
     )
     failed = "k % 5 = 0 AND (attempt = 1 OR k % 3 = 0)"
