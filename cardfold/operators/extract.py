@@ -73,7 +73,7 @@ def _named(cards: Column) -> Column:
 
 
 def _category_mentions(bits: dict[str, int]) -> Column:
-    """Category links (pass 1), then category cards (pass 2), with a name."""
+    """Category links (pass 1), then category cards (pass 2)."""
     els, texts = F.col("els"), F.col("texts")
     links = F.transform(
         select_all(els, bits["category_link"]),
@@ -95,9 +95,7 @@ def _category_mentions(bits: dict[str, int]) -> Column:
             text_of(select_one(inside(els, e), bits["category_count"]), texts).alias("count_text"),
         ),
     )
-    return F.filter(
-        F.concat(links, cards), lambda m: (m["name"] != "") & (m["url"] != "")
-    )
+    return F.concat(links, cards)
 
 
 def _next_url(bits: dict[str, int]) -> Column:
@@ -264,9 +262,8 @@ def categories_from_facts(facts: DataFrame, url_col: str = "url") -> DataFrame:
     same URL overrides name and count. Sort by ``source_url, sort_key, first_at``
     for the reading order.
     """
-    rows = facts.select(
-        F.col(url_col).alias("source_url"), F.explode("mentions").alias("m")
-    )
+    named = F.filter("mentions", lambda m: (m["name"] != "") & (m["url"] != ""))
+    rows = facts.select(F.col(url_col).alias("source_url"), F.explode(named).alias("m"))
     place = F.col("m.pass") * F.lit(1 << 40) + F.col("m.at")
     merged = (
         rows.groupBy("source_url", F.col("m.url").alias("category_url"))
@@ -279,14 +276,14 @@ def categories_from_facts(facts: DataFrame, url_col: str = "url") -> DataFrame:
         )
     )
     name = clean_display_text(F.coalesce(F.col("card.name"), F.col("link_name")))
-    named = merged.select(
+    cleaned = merged.select(
         "source_url",
         name.alias("trade_category"),
         "category_url",
         listed_count(F.col("card.count_text")).alias("listed_count"),
         "first_at",
     )
-    return named.withColumn("sort_key", F.lower("trade_category"))
+    return cleaned.withColumn("sort_key", F.lower("trade_category"))
 
 
 def discover_categories(pages: DataFrame, url_col: str = "url") -> DataFrame:

@@ -58,6 +58,7 @@ _PARSED_FIELDS = [
     T.StructField("texts", T.ArrayType(T.StringType())),
     T.StructField("parse_error", T.StringType()),
 ]
+_CHUNK_ROWS = 64
 _ARROW_ELEMENT = pa.struct(
     [(name, pa.int32()) for name in ("at", "span")]
     + [("hits", pa.int64())]
@@ -300,25 +301,24 @@ def parse_pages(
     source = pages.select(*columns)
     schema = T.StructType([source.schema[name] for name in keep] + _PARSED_FIELDS)
 
+    def read_chunk(chunk):
+        read = [
+            (None, None, None) if html is None else _read_page(steps, url, html)
+            for url, html in zip(chunk[url_col].to_pylist(), chunk[html_col].to_pylist())
+        ]
+        els, texts, errors = zip(*read)
+        arrays = [chunk[name] for name in keep] + [
+            pa.array(els, pa.list_(_ARROW_ELEMENT)),
+            pa.array(texts, pa.list_(pa.string())),
+            pa.array(errors, pa.string()),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, [*keep, "els", "texts", "parse_error"])
+
     def run(batches):
         for batch in batches:
-            urls = batch.column(columns.index(url_col))
-            pages_html = batch.column(columns.index(html_col))
-            els, texts, errors = [], [], []
-            for url, html in zip(urls, pages_html):
-                markup = html.as_py()
-                read = (None, None, None)
-                if markup is not None:
-                    read = _read_page(steps, url.as_py(), markup)
-                els.append(read[0])
-                texts.append(read[1])
-                errors.append(read[2])
-            arrays = [batch.column(columns.index(name)) for name in keep] + [
-                pa.array(els, pa.list_(_ARROW_ELEMENT)),
-                pa.array(texts, pa.list_(pa.string())),
-                pa.array(errors, pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, [*keep, "els", "texts", "parse_error"])
+            # Small chunks bound the Python objects alive at a time.
+            for start in range(0, batch.num_rows, _CHUNK_ROWS):
+                yield read_chunk(batch.slice(start, _CHUNK_ROWS))
 
     return source.mapInArrow(run, schema)
 

@@ -6,6 +6,7 @@ a snapshot once into a narrow table; store it to run many jobs on it.
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 from typing import NamedTuple
 
@@ -105,8 +106,6 @@ def _is_absent(parts: tuple[str, ...]):
 
 def _check_url(url: str) -> str:
     """Normalised directory URL, checked on the driver: it is one argument."""
-    import re
-
     value = url.strip()
     link = re.search(r"\((https?://[^)]+)\)", value)
     value = (link.group(1) if link else value).strip("\"'")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,13 +26,14 @@ def build_session(app_name: str = "cardfold", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@cache
+def _fallback_dir() -> str:
+    return tempfile.mkdtemp(prefix="cardfold-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="cardfold-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.checkpoint.dir", None) or _fallback_dir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
