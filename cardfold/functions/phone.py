@@ -14,9 +14,12 @@ def _trimmed(c: Column) -> Column:
     return collapse(F.regexp_replace(body, rf"(?i:ext|exten[sſ]ion|x){WS}*\p{{Nd}}+\z", ""))
 
 
+_SCIENTIFIC = r"\A[+-]?\p{Nd}+(?:\.\p{Nd}+)?[eE][+-]?\p{Nd}+\z"
+
+
 def is_scientific(c: Column) -> Column:
     """True for a value written like 6.4e+10; null stays null."""
-    return _trimmed(c).rlike(r"\A[+-]?\p{Nd}+(?:\.\p{Nd}+)?[eE][+-]?\p{Nd}+\z")
+    return _trimmed(c).rlike(_SCIENTIFIC)
 
 
 def clean_phone(c: Column, on_invalid: str = "raise") -> Column:
@@ -28,7 +31,9 @@ def clean_phone(c: Column, on_invalid: str = "raise") -> Column:
     bad = F.lit(None).cast("string")
     if on_invalid == "raise":
         bad = F.raise_error(F.lit(SCIENTIFIC_MESSAGE)).cast("string")
-    return F.when(is_scientific(c), bad).when(text.rlike(r"\p{Nd}"), text)
+    # The first test reads the text twice, so that generated code keeps it.
+    no_number = (text == "") | ~text.rlike(r"\p{Nd}")
+    return F.when(no_number, None).when(text.rlike(_SCIENTIFIC), bad).otherwise(text)
 
 
 def phone_match_key(c: Column, on_invalid: str = "raise") -> Column:

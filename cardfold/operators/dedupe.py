@@ -74,13 +74,15 @@ def _ord_of(score: Column) -> Column:
 def _latest_anchor(events: DataFrame, size: int, split_rows: int) -> DataFrame:
     """For each chooser the latest earlier anchor of its alias: ``(ord, parent)``.
 
-    ``events`` has ``alias, ord, first, anchor`` and at most ``size`` rows. Large
-    inputs are first cut into ranges of ``ord``; a hot alias is then sorted range by range, and only one
-    row per alias and range carries its last anchor over.
+    ``events`` has ``rank, first, ord, anchor`` (rank and first holder name an
+    alias) and at most ``size`` rows. Large inputs are first cut into ranges of
+    ``ord``; a hot alias is then sorted range by range, and only one row per
+    alias and range carries its last anchor over.
     """
+    alias = ["rank", "first"]
     anchor_ord = F.when(F.col("anchor"), F.col("ord"))
     if size <= split_rows:
-        earlier = Window.partitionBy("alias").orderBy("ord").rowsBetween(
+        earlier = Window.partitionBy(*alias).orderBy("ord").rowsBetween(
             Window.unboundedPreceding, -1
         )
         found = events.withColumn("near", F.max(anchor_ord).over(earlier))
@@ -88,19 +90,19 @@ def _latest_anchor(events: DataFrame, size: int, split_rows: int) -> DataFrame:
     else:
         ranged = events.repartitionByRange(-(-size // split_rows), "ord")
         ranged = materialize(ranged.withColumn("part", F.spark_partition_id()), "anchors")
-        inside = Window.partitionBy("alias", "part").orderBy("ord").rowsBetween(
+        inside = Window.partitionBy(*alias, "part").orderBy("ord").rowsBetween(
             Window.unboundedPreceding, -1
         )
-        before = Window.partitionBy("alias").orderBy("part").rowsBetween(
+        before = Window.partitionBy(*alias).orderBy("part").rowsBetween(
             Window.unboundedPreceding, -1
         )
         carried = (
-            ranged.groupBy("alias", "part")
+            ranged.groupBy(*alias, "part")
             .agg(F.max(anchor_ord).alias("last"))
-            .select("alias", "part", F.max("last").over(before).alias("carried"))
+            .select(*alias, "part", F.max("last").over(before).alias("carried"))
         )
         found = ranged.withColumn("near", F.max(anchor_ord).over(inside)).join(
-            carried, ["alias", "part"]
+            carried, [*alias, "part"]
         )
         parent = F.coalesce("near", "carried", "first")
     return found.where(~F.col("anchor")).select("ord", parent.alias("parent"))
@@ -122,8 +124,13 @@ def _roots(edges: DataFrame) -> DataFrame:
 
 
 def _shared_aliases(records: DataFrame) -> DataFrame:
-    """Records that share an alias with another: their shared aliases with the
-    first holder of each, and the alias they join a group through, if any."""
+    """Records that share an alias with another: ``ord``, ``filled``, the first
+    holder of each shared alias (``first_0`` .. ``first_3`` by rank) and ``via``,
+    the rank of the alias the record joins a group through, if any.
+
+    A record has one alias per rank at most, so rank and first holder name an
+    alias from here on, and no text is shuffled again.
+    """
     filled = completeness(*[F.col(name) for name in OUTPUT_FIELDS])
     holders = alias_rows(records, filled.alias("filled"))
     firsts = (
@@ -132,40 +139,47 @@ def _shared_aliases(records: DataFrame) -> DataFrame:
         .where(F.col("n") > 1)
         .drop("n")
     )
-    # At most three rows per record meet here, however many share an alias.
-    per_record = (
+    shared = (
         holders.join(firsts, "alias")
+        .select("ord", "filled", "rank", "first")
         .groupBy("ord")
         .agg(
-            F.first("filled").alias("filled"),
-            F.collect_list(F.struct("rank", "alias", "first")).alias("shared"),
+            F.max("filled").alias("filled"),
+            *[
+                F.max(F.when(F.col("rank") == rank, F.col("first"))).alias(f"first_{rank}")
+                for rank in range(4)
+            ],
         )
     )
-    ordered = F.col("ord")
-    known = F.filter("shared", lambda a: a["first"] < ordered)
-    return per_record.withColumn("via", F.array_min(known))
+    via = F.coalesce(
+        *[F.when(F.col(f"first_{rank}") < F.col("ord"), F.lit(rank)) for rank in range(4)]
+    )
+    return shared.withColumn("via", via)
 
 
 def parent_edges(shared: DataFrame, split_rows: int = _SPLIT_ROWS) -> DataFrame:
     """``(ord, parent)`` for every record that joins an earlier group."""
-    joins = shared.where(F.col("via").isNotNull()).select(
-        "ord", F.col("via.rank").alias("rank"), F.col("via.alias").alias("alias"),
-        F.col("via.first").alias("first"),
-    )
     # Every later holder of a URL joins through it, so its run starts at the
     # first holder; the same holds for records known by nothing but their name.
-    direct = joins.where(F.col("rank").isin(0, 3)).select("ord", F.col("first").alias("parent"))
-    via_name = joins.where(F.col("rank").isin(1, 2))
-    held = shared.select("ord", "via", F.inline("shared"))
-    anchors = held.where(
-        F.col("rank").isin(1, 2)
-        & (F.col("ord") > F.col("first"))
-        & (F.col("alias") != F.col("via.alias"))
-    ).join(via_name.select("alias").distinct(), "alias", "left_semi")
-    columns = ["alias", "ord", "first"]
-    events = via_name.select(*columns, F.lit(False).alias("anchor")).unionByName(
-        anchors.select(*columns, F.lit(True).alias("anchor"))
+    direct = shared.where(F.col("via").isin(0, 3)).select(
+        "ord", F.coalesce(F.when(F.col("via") == 0, F.col("first_0")), "first_3").alias("parent")
     )
+    # Per name alias the later holders: choosers joined through it, anchors not.
+    held = shared.select(
+        "ord",
+        "via",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(rank).alias("rank"), F.col(f"first_{rank}").alias("first"))
+                    for rank in (1, 2)
+                ]
+            )
+        ),
+    ).where(F.col("first") < F.col("ord"))
+    events = held.select("rank", "first", "ord", (F.col("via") != F.col("rank")).alias("anchor"))
+    chosen = events.where(~F.col("anchor")).select("rank", "first").distinct()
+    events = events.join(chosen, ["rank", "first"], "left_semi")
     # A record is an event once per name alias, so twice at most.
     return direct.unionByName(_latest_anchor(events, 2 * shared.count(), split_rows))
 
