@@ -32,6 +32,11 @@ MISSING_TYPE = "NotInSnapshot"
 MISSING_MESSAGE = "The page is not part of the snapshot."
 
 
+# What the walk keeps of a page: whether it was read, its cards, its cards before
+# the first nameless one, its named cards.
+_PAGE = ["ok", "n_cards", "lead", "n_named"]
+
+
 class Pagination(NamedTuple):
     visits: DataFrame  # seq, step, url, ok, take
     listings: DataFrame  # seq, step, card, ord and the seven listing columns
@@ -52,13 +57,16 @@ def _cut_short(limit: int) -> Column:
 
 
 def _open_categories(walk: DataFrame, limit: int) -> DataFrame:
-    """Categories whose known pages do not yet prove that the limit is met."""
-    full = (_remaining(limit) <= 0) | (F.col("lead") >= _remaining(limit))
-    cut = F.when(_cut_short(limit), F.col("step"))
+    """Categories whose known pages do not yet prove that the limit is met.
+
+    A page that surely fits the budget gives all its named cards; any other
+    page gives at least its leading named cards, or ends the budget.
+    """
+    sure = F.when(_cut_short(limit), F.col("lead")).otherwise(F.col("n_named"))
     return (
         walk.groupBy("seq")
-        .agg(F.min_by(full, cut).alias("full"))
-        .where(~F.coalesce("full", F.lit(False)))
+        .agg(F.sum(sure).alias("sure"))
+        .where(F.col("sure") < limit)
         .select("seq")
     )
 
@@ -67,12 +75,12 @@ def _first_hops(pages: DataFrame) -> DataFrame:
     """``url, to, gain`` and what is known of the page it leads to."""
     target = pages.select(
         F.col("url").alias("to"),
-        F.struct("ok", "n_cards", "lead").alias("page"),
+        F.struct(*_PAGE).alias("page"),
     )
     return (
         pages.where(F.col("ok") & F.col("next_url").isNotNull())
         .select(
-            "url", F.col("next_url").alias("to"), F.size("named").cast("long").alias("gain")
+            "url", F.col("next_url").alias("to"), F.col("n_named").cast("long").alias("gain")
         )
         .join(target, "to", "left")
         .select("url", "to", "gain", "page")
@@ -102,24 +110,26 @@ def _steps(rows: DataFrame) -> DataFrame:
         "url",
         "before",
         F.coalesce("page.ok", F.lit(False)).alias("ok"),
-        F.coalesce("page.n_cards", F.lit(0)).alias("n_cards"),
-        F.coalesce("page.lead", F.lit(0)).alias("lead"),
+        *[F.coalesce(f"page.{name}", F.lit(0)).alias(name) for name in _PAGE[1:]],
     )
 
 
 def walk_pages(seeds: DataFrame, pages: DataFrame, limit: int, max_pages: int) -> DataFrame:
     """Distinct pages of every category's path, at least as far as the limit
-    reaches: ``seq, step, url, before, ok, n_cards, lead, named``."""
-    known = pages.select("url", F.struct("ok", "n_cards", "lead").alias("page"))
+    reaches: ``seq, step, url, before, named`` and the page's counts."""
+    known = pages.select("url", F.struct(*_PAGE).alias("page"))
     start = seeds.select(
         "seq", "url", F.lit(0).alias("step"), F.lit(0).cast("long").alias("before")
     )
     walk = materialize(_steps(start.join(known, "url", "left")), "walk")
     hops, reach, size = None, 1, -1
     while max_pages == 0 or reach < max_pages:
+        open_seqs = _open_categories(walk, limit)
+        if open_seqs.isEmpty():
+            break
         hops = materialize(_first_hops(pages) if hops is None else _doubled(hops), "hops")
         ahead = (
-            walk.join(_open_categories(walk, limit), "seq", "left_semi")
+            walk.join(open_seqs, "seq", "left_semi")
             .join(hops, "url")
             .select(
                 "seq",
@@ -136,9 +146,7 @@ def walk_pages(seeds: DataFrame, pages: DataFrame, limit: int, max_pages: int) -
             .agg(
                 F.min("step").alias("step"),
                 F.min("before").alias("before"),
-                F.max("ok").alias("ok"),
-                F.max("n_cards").alias("n_cards"),
-                F.max("lead").alias("lead"),
+                *[F.max(name).alias(name) for name in _PAGE],
             ),
             "walk",
         )
@@ -228,7 +236,10 @@ def paginate(
         "next_url",
         F.coalesce("n_cards", F.lit(0)).alias("n_cards"),
         F.coalesce("named", F.array().cast("array<int>")).alias("named"),
-        F.size(F.filter("named", lambda position, i: position == i + 1)).alias("lead"),
+        F.coalesce(
+            F.size(F.filter("named", lambda position, i: position == i + 1)), F.lit(0)
+        ).alias("lead"),
+        F.coalesce(F.size("named"), F.lit(0)).alias("n_named"),
     )
     path = materialize(walk_pages(seeds, pages, limit_per_category, max_pages), "path")
     spans = _spans(path, limit_per_category)
