@@ -33,6 +33,8 @@ HEADLINE = [
     "run_pipeline",
     "scrape_categories_records",
 ]
+# Run once untimed: starts the Python workers and the code generator.
+WARM_UP = ["card_count_pages", "category_key_customers"]
 
 
 def main() -> None:
@@ -51,7 +53,8 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = registry.queries()
-    spark.range(1000).selectExpr("sum(id)").collect()
+    for name in WARM_UP:
+        queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in only:
         start = time.perf_counter()
