@@ -6,14 +6,13 @@ a snapshot once into a narrow table; store it to run many jobs on it.
 
 from __future__ import annotations
 
-import re
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardfold import schema
-from cardfold.functions.urls import INVALID_URL_MESSAGE
+from cardfold.functions.urls import INVALID_URL_MESSAGE, is_public_url, normalize_input_url
 from cardfold.operators.dedupe import deduplicate
 from cardfold.operators.enrich import detail_failures, detail_metrics, enrich, enriched_records
 from cardfold.operators.extract import categories_from_facts, listing_rows, page_facts
@@ -104,14 +103,13 @@ def _is_absent(parts: tuple[str, ...]):
     return F.col("mentions").isNull() if "categories" in parts else F.lit(False)
 
 
-def _check_url(url: str) -> str:
-    """Normalised directory URL, checked on the driver: it is one argument."""
-    value = url.strip()
-    link = re.search(r"\((https?://[^)]+)\)", value)
-    value = (link.group(1) if link else value).strip("\"'")
-    if not re.match(r"https?://[^/?#]", value, re.IGNORECASE):
+def _check_url(spark: SparkSession, url: str) -> str:
+    """The normalised form of one URL argument."""
+    typed = normalize_input_url(F.lit(url))
+    row = spark.range(1).select(typed.alias("url"), is_public_url(typed).alias("ok")).first()
+    if not row["ok"]:
         raise ValueError(INVALID_URL_MESSAGE)
-    return value
+    return row["url"]
 
 
 def _page_failure(pages: DataFrame, url: str, now: datetime | None) -> DataFrame:
@@ -142,7 +140,7 @@ def discover(
     now: datetime | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Categories of one directory page and the failure to read it, if any."""
-    url = _check_url(url)
+    url = _check_url(snapshot.sparkSession, url)
     wanted = snapshot.where(F.col("url") == url)
     facts = materialize(
         resolve_attempts(build_facts(wanted, parts=("categories",)), FETCH_ATTEMPTS), "facts"
@@ -167,7 +165,7 @@ def scrape_page(
     """
     if limit < 1:
         raise ValueError("limit must be greater than 0")
-    url = _check_url(url)
+    url = _check_url(snapshot.sparkSession, url)
     facts = materialize(
         resolve_attempts(
             build_facts(snapshot.where(F.col("url") == url), parts=("cards",)), FETCH_ATTEMPTS
@@ -214,8 +212,8 @@ def scrape_selected_categories(
         raise ValueError("max_pages_per_category cannot be negative")
     if detail_concurrency < 1:
         raise ValueError("detail_concurrency must be at least 1")
-    directory_url = _check_url(directory_url)
     spark = snapshot.sparkSession
+    directory_url = _check_url(spark, directory_url)
     if isinstance(requested, DataFrame):
         requests = requested
     else:

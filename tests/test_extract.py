@@ -7,23 +7,16 @@ from cardfold.operators.html import compile_selectors, html_nodes
 BASE = "https://dir.example/directory/"
 
 CARD = """
-<div id="listings">
-  <div class="jet-listing-grid__item" data-post-id="1">
-    <h3 class="elementor-heading-title">
-      <a href="https://dir.example/directory/example-builder/">Example Builder</a>
-    </h3>
-    <a href="https://dir.example/location/auckland/">
-      <span class="elementor-icon-list-text">Auckland</span>
-    </a>
-    <a href="tel:0800%20123%20456">
-      <span class="elementor-icon-list-text">0800 123 456</span>
-    </a>
-    <a href="https://dir.example/business-category/builders/" class="jet-listing-dynamic-terms__link">
-      Builders
-    </a>
-    <div class="elementor-widget-theme-post-excerpt"><p>Residential building services.</p></div>
-  </div>
-</div>
+<section id="listings"><ul>
+  <li data-post-id="77" class="wide jet-listing-grid__item">
+    <h3 class="big elementor-heading-title"><a href="../directory/kea-tiling/">Kea <i>Tiling</i></a></h3>
+    <p>not the excerpt</p>
+    <a href="/location/otago/"><em class="elementor-icon-list-text">Otago</em></a>
+    <a href="tel:03%20477%2000"><em class="elementor-icon-list-text">03 477 00</em></a>
+    <a class="x jet-listing-dynamic-terms__link" href="/business-category/tilers/"> Tilers </a>
+    <div class="elementor-widget-theme-post-excerpt"><p>Floors ,walls,roofs</p><p>second</p></div>
+  </li>
+</ul></section>
 """
 
 
@@ -43,24 +36,24 @@ def test_directory_listing(spark):
     (row,) = extract.extract_listings(page).collect()
     assert row.asDict() == {
         "card": 0,
-        "business_name": "Example Builder",
-        "trade_category": "Builders",
-        "region": "Auckland",
-        "phone": "0800 123 456",
-        "description": "Residential building services.",
-        "listing_url": "https://dir.example/directory/example-builder/",
+        "business_name": "Kea Tiling",
+        "trade_category": "Tilers",
+        "region": "Otago",
+        "phone": "03 477 00",
+        "description": "Floors, walls, roofs",
+        "listing_url": "https://dir.example/directory/kea-tiling/",
         "source_url": BASE,
     }
 
 
 def test_adjacent_anchors_stay_apart(spark):
-    html = """<div id="listings"><div class="jet-listing-grid__item" data-post-id="2">
-      <h3><a href="/directory/c/">Christchurch Electrician</a></h3>
-      <a href="/business-category/electricians/" class="jet-listing-dynamic-terms__link">Electricians</a><a
-       href="/location/canterbury/"><span class="elementor-icon-list-text">Canterbury</span></a>
-      </div></div>"""
+    html = (
+        '<div id="listings"><p class="jet-listing-grid__item" data-post-id><h3><a>Tui Solar</a></h3>'
+        '<a class="jet-listing-dynamic-terms__link" href="/business-category/solar/">Solar</a>'
+        '<a href="/location/nelson/"><b class="elementor-icon-list-text">Nelson</b></a></p></div>'
+    )
     (row,) = extract.extract_listings(pages(spark, (BASE, html))).collect()
-    assert (row.trade_category, row.region) == ("Electricians", "Canterbury")
+    assert (row.trade_category, row.region) == ("Solar", "Nelson")
 
 
 def test_limit_counts_cards_before_the_name_check(spark):
@@ -72,21 +65,20 @@ def test_limit_counts_cards_before_the_name_check(spark):
 
 
 def test_generic_listing_prefers_phone_link(spark):
-    html = """<div class="item"><h2>Example Builders NZ</h2><span class="cat">Building</span>
-      <a href="tel:+6495550101" class="phone">Call</a><p class="d">Services.</p></div>
-      <div class="item"><h2>Second</h2><b class="phone">09 1 , 2</b></div>"""
+    html = """<article><h4>Moa Decks</h4><u>Decking</u><a class="ring" href="tel:+6495550101">Ring us</a>
+      <q>Decks &amp; fences.</q></article><article><h4>Second</h4><b class="ring">09 1 , 2</b></article>"""
     selectors = {
-        "listing": ".item",
-        "business_name": "h2",
-        "trade_category": ".cat",
-        "phone": ".phone, a[href^='tel:']",
-        "description": ".d",
+        "listing": "article",
+        "business_name": "h4",
+        "trade_category": "u",
+        "phone": ".ring, a[href^='tel:']",
+        "description": "article > q",
     }
     rows = extract.extract_listings_generic(pages(spark, (BASE, html)), selectors).collect()
     assert [r.phone for r in rows] == ["+6495550101", "09 1, 2"]
     directory = extract.extract_listings(pages(spark, (BASE, html)), selectors=selectors).collect()
-    assert [r.phone for r in directory] == ["Call", "09 1 , 2"]
-    assert rows[0].trade_category == "Building" and rows[0].description == "Services."
+    assert [r.phone for r in directory] == ["Ring us", "09 1 , 2"]
+    assert rows[0].trade_category == "Decking" and rows[0].description == "Decks & fences."
     with pytest.raises(ValueError):
         extract.extract_listings_generic(pages(spark, (BASE, html)), {"nope": "p"})
 
@@ -100,21 +92,27 @@ def test_phone_falls_back_to_link(spark):
 
 
 def test_categories(spark):
-    html = """<div class="jet-listing-grid__item">
-      <div class="jet-engine-listing-overlay-wrap" data-url="/business-category/electricians/">
-        <h3 class="elementor-heading-title"><a href="/business-category/electricians/">Electricians</a></h3>
-        <div class="jet-listing-dynamic-field__content">(1,089)</div></div></div>
-      <ul><li><a href="/business-category/electricians/">electric</a></li>
-      <li><a href="/business-category/plumbers/">Plumbers</a></li>
-      <li><a href="/business-category/blank/"> </a></li>
-      <li><a href="/business-category/plumbers/">Other name</a></li>
-      <li><a href="/business-category/air/">air</a></li></ul>"""
+    def link(slug, name):
+        return f'<a href="/business-category/{slug}/">{name}</a>'
+
+    def category_card(slug, name, count):
+        return (
+            f'<p class="jet-listing-grid__item"><span class="jet-engine-listing-overlay-wrap" '
+            f'data-url="/business-category/{slug}/"><h5>{link(slug, name)}</h5>'
+            f'<i class="jet-listing-dynamic-field__content">{count}</i></span></p>'
+        )
+
+    html = (
+        category_card("roofs", "Old roofs", "(2)") + link("roofs", "roof") + link("plumbing", "Plumbing")
+        + link("blank", " ") + link("plumbing", "Other name") + link("air", "air")
+        + category_card("roofs", "Roofs", "all (1,089)")
+    )
     rows = extract.discover_categories(pages(spark, (BASE, html)))
     got = rows.orderBy("sort_key", "first_at").collect()
     assert [(r.trade_category, r.category_url, r.listed_count) for r in got] == [
         ("air", "https://dir.example/business-category/air/", None),
-        ("Electricians", "https://dir.example/business-category/electricians/", 1089),
-        ("Plumbers", "https://dir.example/business-category/plumbers/", None),
+        ("Plumbing", "https://dir.example/business-category/plumbing/", None),
+        ("Roofs", "https://dir.example/business-category/roofs/", 1089),
     ]
 
 
@@ -135,17 +133,16 @@ def test_detail(spark):
     wrap = '<div class="elementor-widget-theme-post-content"><div class="elementor-widget-container">{}</div></div>'
     rows = pages(
         spark,
-        ("1", wrap.format("<p>First full-description paragraph.</p>\n<p>Second paragraph.</p>")),
-        ("2", wrap.format("<p>No <strong>guesswork</strong>.</p><p>Honest pricing,quality.</p>"
-                          "<p>Professional <strong>removalists</strong> , providing.</p>")),
+        ("1", wrap.format("<p>We tile floors.</p>\n<p>And walls, since 1999.</p>")),
+        ("2", wrap.format("<b>Neat</b>. Fair,fast <i>crew</i> , always")),
         ("3", "<p>nothing</p>"),
         ("4", wrap.format(" ")),
         ("5", wrap.format("a<!-- c -->b<script>no()</script> &amp; &lt;c&gt; &#8217;&nbsp;&foo; x<br>y")),
     )
     got = {r.url: r.description for r in extract.extract_detail(rows).collect()}
     assert got == {
-        "1": "First full-description paragraph. Second paragraph.",
-        "2": "No guesswork. Honest pricing, quality. Professional removalists, providing.",
+        "1": "We tile floors. And walls, since 1999.",
+        "2": "Neat. Fair, fast crew, always",
         "3": None,
         "4": None,
         "5": "a b & <c> ’ &foo x y",
