@@ -64,3 +64,8 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def small(df: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
+    """``df``, a stored table of a few numbers a row, broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= most_rows else df

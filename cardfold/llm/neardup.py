@@ -4,15 +4,16 @@
    of the whole set, a MinHash signature and the keys of its bands.
 2. Equal sets are one class, stood for by its smallest document id. Buckets are
    the representatives that share a band; buckets with equal members count once.
-3. A bucket is searched in rounds against a few centers, never as all pairs:
-   only members of another component than the center are compared. After a round
-   its centers leave the bucket, and buckets of one component are done, so a tight
-   group of n copies costs n comparisons; the number of centers grows fourfold a
-   round, so a loose bucket is still searched whole, in log(n) rounds.
+3. Every candidate is compared with the smallest id of its buckets: one pair each,
+   so a tight group of n copies costs n comparisons. Buckets that then hold one
+   component are done. In the others all members of different components are
+   compared inside the tasks, most similar signatures first, and only links that
+   join two components come out; large buckets are cut into blocks of bounded rows
+   and bytes, and each pair of blocks is one unit of work.
 4. A pair's signatures are compared batch by batch. With a uniform prior the
    posterior of the similarity after m of n equal hashes is Beta(m+1, n-m+1); the
    pair is dropped as soon as P(similarity >= threshold) < ``miss``.
-5. Survivors are confirmed on the full shingle sets of both texts.
+5. Survivors are confirmed on the full shingle sets of both texts (64-bit hashes).
 6. Links update the components (min-label propagation over written tables).
 
 32 bands of 4 hashes miss a pair at similarity 0.75 with probability 5e-6.
@@ -26,7 +27,7 @@ kept or dropped together. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections import OrderedDict
+from collections import Counter, OrderedDict
 from collections.abc import Iterator
 from hashlib import blake2b
 from math import comb
@@ -36,13 +37,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cardfold.llm.common import byte_texts, slices, store
+from cardfold.llm.common import byte_texts, slices, small, store
 
 SHINGLE = 5
 HASHES = 128
 BANDS = 32
 BATCH = 32
-MISS = 1e-6
+MISS = 1e-5
 SLICE_BYTES = 8 << 20
 
 _rng = np.random.RandomState(20240229)
@@ -57,14 +58,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(text: bytes, size: int = SHINGLE) -> set:
-    """The distinct runs of ``size`` words of a lower-cased text."""
-    own = text.lower().split()
-    if len(own) < size:
-        return {tuple(own)} if own else set()
-    return set(zip(*(own[i:] for i in range(size))))
-
-
 def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles."""
     own = text.lower().split()
@@ -135,53 +128,136 @@ def least_matches(n: int, threshold: float, miss: float) -> int:
     return n
 
 
-def _bayes(threshold: float, miss: float):
-    bounds = [(n, least_matches(n, threshold, miss)) for n in range(BATCH, HASHES + 1, BATCH)]
+class Bounds:
+    """Sequential test of signature pairs, batch of hashes by batch."""
+
+    def __init__(self, threshold: float, miss: float):
+        self.least = [(n, least_matches(n, threshold, miss)) for n in range(BATCH, HASHES + 1, BATCH)]
+
+    def test(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the rows that stay, and their equal hashes; ``one`` may be a single row."""
+        alive, equal = np.arange(len(two)), np.zeros(len(two), np.int64)
+        for n, least in self.least:
+            left = one[n - BATCH : n] if one.ndim == 1 else one[alive, n - BATCH : n]
+            equal[alive] += (left == two[alive, n - BATCH : n]).sum(axis=1)
+            alive = alive[equal[alive] >= least]
+        return alive, equal[alive]
+
+
+class Sets:
+    """Shingle hashes by key, rebuilt from the text when memory is short."""
+
+    def __init__(self, limit: int = 64 << 20):
+        self.held, self.size, self.limit = OrderedDict(), 0, limit
+
+    def get(self, key, text: bytes) -> np.ndarray:
+        if key in self.held:
+            self.held.move_to_end(key)
+        else:
+            self.held[key] = shingle_hashes(text)
+            self.size += self.held[key].nbytes
+            while self.size > self.limit and len(self.held) > 2:
+                self.size -= self.held.popitem(last=False)[1].nbytes
+        return self.held[key]
 
+
+def _linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(one), len(two)) < percent * max(len(one), len(two)):
+        return False
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
+
+
+def _bayes(threshold: float, miss: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = Bounds(threshold, miss)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            one, two = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, HASHES)
-                for c in ("sig_a", "sig_b")
-            )
-            alive, equal = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            for n, least in bounds:
-                equal[alive] += (one[alive, n - BATCH : n] == two[alive, n - BATCH : n]).sum(axis=1)
-                alive = alive[equal[alive] >= least]
-            yield batch.select(["a", "b"]).take(pa.array(alive))
+            if batch.num_rows:
+                alive, _ = bounds.test(_matrix(batch.column("sig_a")), _matrix(batch.column("sig_b")))
+                yield batch.select(["a", "b"]).take(pa.array(alive))
 
     return run
 
 
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: OrderedDict = OrderedDict()
-
-        def of(key, text):
-            if key not in held:
-                held[key] = shingles(text)
-                if len(held) > 16:
-                    held.popitem(last=False)
-            return held[key]
-
+        sets = Sets()
         for batch in batches:
             for part in slices(batch, "text_b", SLICE_BYTES):
-                a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
-                keep = []
-                for i, (x, y, s, t) in enumerate(
-                    zip(a, b, part.column("text_a").cast(pa.binary()), part.column("text_b").cast(pa.binary()))
-                ):
-                    one, two = of(x, s.as_py()), of(y, t.as_py())
-                    both = len(one & two)
-                    if 100 * both >= percent * (len(one) + len(two) - both):
-                        keep.append(i)
+                columns = (part.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
+                keep = [
+                    i
+                    for i, (a, b, s, t) in enumerate(zip(*columns))
+                    if _linked(sets.get(a, s.encode()), sets.get(b, t.encode()), percent)
+                ]
                 yield part.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     return run
 
 
+def _settle(rows: list[dict], bounds: Bounds, percent: int) -> list[tuple[int, int]]:
+    """Links that join the components of one bucket; every pair of two components is tested.
+
+    ``rows``: id, root, sig, text, side. Rows of side 0 and 1 are two blocks of a
+    bucket and only tested across; side 2 is a block tested within.
+    """
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = x = parent.get(parent[x], parent[x])
+        return x
+
+    sizes = Counter(r["root"] for r in rows)
+    rows = sorted(rows, key=lambda r: (sizes[r["root"]], r["root"], r["id"]))  # the largest component last
+    sig = np.frombuffer(b"".join(r["sig"] for r in rows), np.uint32).reshape(-1, HASHES)
+    root = np.array([r["root"] for r in rows])
+    side = np.array([r["side"] for r in rows])
+    sets, links = Sets(), []
+    for i, row in enumerate(rows):
+        apart = np.flatnonzero((root[i + 1 :] != root[i]) & ((side[i + 1 :] != side[i]) | (side[i] == 2))) + i + 1
+        if not len(apart):
+            continue
+        alive, equal = bounds.test(sig[i], sig[apart])
+        for j in apart[alive[np.argsort(-equal, kind="stable")]]:
+            other = rows[j]
+            if find(row["root"]) == find(other["root"]):
+                continue
+            if _linked(sets.get(row["id"], row["text"].encode()), sets.get(other["id"], other["text"].encode()), percent):
+                parent[find(row["root"])] = find(other["root"])
+                links.append((row["id"], other["id"]))
+    return links
+
+
+def _settle_buckets(threshold: float, miss: float, percent: int):
+    """Buckets come as runs of rows of equal (key, pair)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds, held, last = Bounds(threshold, miss), [], None
+
+        def out(links):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"]
+            )
+
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                for row in part.to_pylist():
+                    if (row["key"], row["pair"]) != last:
+                        if held:
+                            yield out(_settle(held, bounds, percent))
+                        held, last = [], (row["key"], row["pair"])
+                    held.append(row)
+        if held:
+            yield out(_settle(held, bounds, percent))
+
+    return run
+
+
 def _components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b): root is the smallest node reached.
 
@@ -204,50 +280,75 @@ def _components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def link_classes(reps: DataFrame, texts: DataFrame, percent: int = 75, miss: float = MISS) -> DataFrame:
-    """(node, root) for representatives linked with another one.
+def _verified(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, percent: int, miss: float) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b): by signatures first, then on the full sets."""
+    sides = [("a", "sig_a", "text_a"), ("b", "sig_b", "text_b")]
+    for key, sig, _ in sides:
+        pairs = pairs.join(sigs.select(F.col("id").alias(key), F.col("sig").alias(sig)), key)
+    likely = pairs.mapInArrow(_bayes(percent / 100, miss), "a bigint, b bigint")
+    for key, _, text in sides:
+        likely = likely.join(texts.select(F.col("id").alias(key), F.col("text").alias(text)), key)
+    return store(likely.mapInArrow(_confirm(percent), "a bigint, b bigint"), "found")
+
+
+def _ordered(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def link_classes(
+    reps: DataFrame,
+    texts: DataFrame,
+    percent: int = 75,
+    miss: float = MISS,
+    block_rows: int = 1000,
+    block_bytes: int = 16 << 20,
+) -> DataFrame | None:
+    """(node, root) for the representatives linked with another one; None without any.
 
     ``reps``: id, sig, bands of each class; ``texts``: id, text.
     """
-    keys = reps.select("id", F.explode("bands").alias("key"))
+    keys = reps.select("id", F.explode("bands").alias("key")).repartition("key")
     spread = F.xxhash64("id")
     shared = keys.groupBy("key").agg(
-        F.count("*").alias("n"), F.bit_xor(spread).alias("x"), F.bit_xor(F.xxhash64(spread)).alias("y"), F.min("id").alias("m")
+        F.count("*").alias("n"), F.bit_xor(spread).alias("x"), F.sum(F.shiftright(spread, 8)).alias("y"), F.min("id").alias("m")
     )
     once = shared.where("n > 1").groupBy("n", "x", "y", "m").agg(F.min("key").alias("key")).select("key")
-    members = store(keys.join(once, "key").withColumn("root", F.col("id")), "buckets")
-    sigs = reps.select("id", "sig")
-    ids = members.select("id").distinct()
+    members = store(keys.join(once, "key"), "buckets")
+    ids = small(store(members.select("id").distinct(), "candidates"))
+    sigs = store(reps.select("id", "sig").join(ids, "id", "left_semi"), "signatures")
     texts = store(texts.join(ids, "id", "left_semi").dropDuplicates(["id"]), "texts")
-    roots, centers = None, 1
-    while not members.isEmpty():
-        salt = F.pmod(F.xxhash64("id", F.lit(centers)), F.lit(centers))
-        lead = members.groupBy("key", salt.alias("salt")).agg(F.min(F.struct("id", "root")).alias("c"))
-        lead = store(lead.select("key", F.col("c.id").alias("center"), F.col("c.root").alias("center_root")), "centers")
-        pairs = members.join(lead, "key").where("root != center_root")
-        pairs = pairs.select(F.least("id", "center").alias("a"), F.greatest("id", "center").alias("b")).distinct()
-        one = sigs.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"))
-        two = sigs.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"))
-        likely = pairs.join(one, "a").join(two, "b").mapInArrow(_bayes(percent / 100, miss), "a bigint, b bigint")
-        likely = store(likely, "likely")
-        one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-        two = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-        found = likely.join(one, "a").join(two, "b").mapInArrow(_confirm(percent), "a bigint, b bigint")
-        found = store(found, "found")
-        if not found.isEmpty():
-            if roots is not None:  # earlier components stay together
-                found = found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-            roots = _components(found)
-        rest = members.join(lead.select("key", F.col("center").alias("id")), ["key", "id"], "left_anti").select("key", "id")
-        if roots is None:
-            rest = rest.withColumn("root", F.col("id"))
-        else:
-            rest = rest.join(roots.withColumnRenamed("node", "id"), "id", "left")
-            rest = rest.select("key", "id", F.coalesce("root", "id").alias("root"))
-        open_keys = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        members = store(rest.join(open_keys.where("low < high").select("key"), "key"), "buckets")
-        centers *= 4
-    return roots
+
+    # Every candidate against the smallest id of all its buckets: at most one pair each.
+    lead = members.groupBy("key").agg(F.min("id").alias("center"))
+    first = members.join(lead, "key").groupBy("id").agg(F.min("center").alias("center")).where("id != center")
+    links = _verified(first.select(*_ordered("id", "center")), sigs, texts, percent, miss)
+    roots = None if links.isEmpty() else _components(links)
+
+    # Buckets that still hold several components: every pair across them.
+    members = members.select("key", "id")
+    if roots is None:
+        members = members.withColumn("root", F.col("id"))
+    else:
+        members = members.join(roots.withColumnRenamed("node", "id"), "id", "left")
+        members = members.select("key", "id", F.coalesce("root", "id").alias("root"))
+    members = members.join(texts, "id").join(sigs, "id")
+    size = F.octet_length("text")
+    parts = F.ceil(F.greatest(F.count("*") / block_rows, F.sum(size) / block_bytes)).cast("int")
+    open_keys = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), parts.alias("parts"))
+    members = members.join(open_keys.where("low < high").select("key", "parts"), "key")
+    own = F.pmod(F.xxhash64("id"), "parts").cast("int")
+    # A block meets every block of its bucket once: pair (i, i) is a block tested within.
+    members = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pair = F.least("own", "other") * F.col("parts") + F.greatest("own", "other")
+    side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
+    members = members.select("key", pair.alias("pair"), side.alias("side"), "id", "root", "sig", "text")
+    members = members.repartition("key", "pair").sortWithinPartitions("key", "pair")
+    found = store(members.mapInArrow(_settle_buckets(percent / 100, miss, percent), "a bigint, b bigint"), "found")
+    if found.isEmpty():
+        return roots
+    if roots is not None:  # earlier components stay together
+        found = found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return _components(found)
 
 
 def near_duplicates(
@@ -263,8 +364,7 @@ def near_duplicates(
     sketches = store(texts.mapInArrow(_sketch, kinds), "sketches")
     linked = sketches.where("id is not null and set_key is not null")
     classes = store(linked.groupBy("set_key").agg(F.min("id").alias("rep")), "classes")
-    reps = linked.join(classes.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
-    reps = store(reps.select("id", "sig", "bands"), "reps")
+    reps = linked.select("id", "sig", "bands").join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     roots = link_classes(reps, texts, percent, miss)
     named = classes.withColumn("component_id", F.col("rep"))
     if roots is not None:
