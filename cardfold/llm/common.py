@@ -69,3 +69,10 @@ def free_name(df: DataFrame, name: str) -> str:
 def small(df: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
     """``df``, a stored table of a few numbers a row, broadcast if it has few rows."""
     return F.broadcast(df) if df.count() <= most_rows else df
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where an installed public vocabulary file is; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardfold.llm import decontaminate, neardup
-from cardfold.llm.common import digest, table
+from cardfold.llm import decontaminate, neardup, packing
+from cardfold.llm.common import digest, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,14 @@ def op6_minhash_neardup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_best_fit_packing(spark, sf_dir):
+    pieces = packing.tokenized_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
+    packed = packing.pack(pieces)
+    return packed.select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
