@@ -23,6 +23,7 @@ piece then repeat). Extra columns are ignored. An empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from array import array
@@ -39,22 +40,34 @@ CAPACITY = 2048
 GROUPS = 1024
 #: Pieces of up to this many tokens are small.
 SMALL = CAPACITY // 8
-SLICE_BYTES = 4 << 20
-#: Chunks of text a worker remembers.
-MEMORY = 700_000
+SLICE_BYTES = 3 << 20
+#: Pieces a worker remembers.
+MEMORY = 600_000
 
 #: What the tokenizer takes as one piece before merging (fixed by its file).
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_LATIN = regex.compile(r"[!-įı-ɏ]+")
+_LATIN = regex.compile(r"[\t\n\r -~¡-įı-ɏ]*")
+
+
+#: Texts cut into pieces by array operations: Latin letters, no apostrophe (contractions),
+#: no ``<`` (special tokens), no rare white space; lower case keeps their length and NFC.
+_SIMPLE = re.compile(r"[\t\n\r -&(-;=-~¡-įı-ɏ]*")
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+
+
+def _kind(char: str) -> int:
+    group = unicodedata.category(char)[0]
+    return _SPACE if char.isspace() else _LETTER if group == "L" else _DIGIT if group == "N" else _OTHER
 
 
 class WordTokenizer:
-    """Ids of a tokenizer that drops white space, remembered chunk by chunk.
+    """Ids of a tokenizer that drops white space and merges within pieces only.
 
-    Blanks and line breaks never share a token with their neighbours, so a text's
-    ids are those of its chunks. Chunks of plain Latin letters are split further
-    into the tokenizer's own pieces, whose ids end with a word-end token each;
-    new pieces are encoded together. All other chunks go to the tokenizer whole.
+    A piece is a run of letters, a digit, or a run of other signs. Simple texts are
+    cut into pieces by array operations (equal pieces are found by a 64-bit hash),
+    other texts by the pattern. A piece's last id is a word-end token, so all new
+    pieces of a slice are encoded in one call. Texts with special tokens or marks
+    that the tokenizer normalises go to it whole.
     """
 
     def __init__(self, path: str):
@@ -64,46 +77,76 @@ class WordTokenizer:
         self.ends = np.zeros(self.tool.get_vocab_size(), bool)
         for word, i in self.tool.get_vocab(with_added_tokens=False).items():
             self.ends[i] = word.endswith("</w>")
-        self.chunks: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.kinds = np.array([_kind(chr(c)) for c in range(0x250)], np.uint8)
+        self.power = np.ones(1, np.uint64)
+        self.inverse = np.ones(1, np.uint64)
 
     def _plain(self, text: str) -> bytes:
         return array("I", self.tool.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        if len(self.chunks) + len(new) > MEMORY:
-            self.chunks, self.pieces = {}, {}
-        split = {}
-        for chunk in new:
-            if _LATIN.fullmatch(chunk) and "<|" not in chunk and unicodedata.is_normalized("NFC", chunk):
-                split[chunk] = _PIECE.findall(chunk.lower())
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        new = [p for p in pieces if p not in self.pieces]
+        if len(self.pieces) + len(new) > MEMORY:
+            self.pieces, new = {}, pieces
+        if new:
+            new = list(dict.fromkeys(new))
+            ids = self.tool.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids
+            ids = np.array(ids, np.uint32)
+            cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+            if len(cuts) == len(new):
+                raw = ids.tobytes()
+                self.pieces.update((p, raw[a:b]) for p, a, b in zip(new, [0, *cuts], cuts))
             else:
-                self.chunks[chunk] = self._plain(chunk)
-        need = list({p for own in split.values() for p in own} - self.pieces.keys())
-        ids = np.array(self.tool.encode(" ".join(need), add_special_tokens=False).ids, np.uint32)
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) == len(need):
-            for piece, own in zip(need, np.split(ids, cuts[:-1]) if need else []):
-                self.pieces[piece] = own.tobytes()
-        else:
-            for piece in need:
-                self.pieces[piece] = self._plain(piece)
-        get = self.pieces.__getitem__
-        for chunk, own in split.items():
-            self.chunks[chunk] = b"".join(map(get, own))
+                self.pieces.update((p, self._plain(p)) for p in new)
+        return list(map(self.pieces.__getitem__, pieces))
+
+    def _powers(self, n: int) -> None:
+        if len(self.power) < n:
+            base = 0x9E3779B97F4A7C15
+            for name, factor in (("power", base), ("inverse", pow(base, -1, 1 << 64))):
+                steps = np.full(n, factor, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.multiply.accumulate(steps))
+
+    def _simple(self, texts: list[str]) -> list[bytes]:
+        joined = "\n".join(texts).lower() + "\n"
+        codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        kind = self.kinds[codes]
+        edge = kind[1:] != kind[:-1]
+        digit = kind == _DIGIT
+        solid = kind != _SPACE
+        starts = np.flatnonzero(solid & np.concatenate([[True], edge | digit[1:]]))
+        stops = np.flatnonzero(solid & np.concatenate([edge | digit[:-1], [True]])) + 1
+        if not len(starts):
+            return [b""] * len(texts)
+        self._powers(len(codes) + 1)
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(codes * self.power[: len(codes)], dtype=np.uint64)])
+        keys = (sums[stops] - sums[starts]) * self.inverse[starts]
+        keys ^= keys >> np.uint64(29)
+        keys = keys * np.uint64(0xBF58476D1CE4E5B9) + (stops - starts).astype(np.uint64)
+        _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+        ids = self._ids([joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist())])
+        begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        cut = np.searchsorted(starts, begin).tolist()
+        get = ids.__getitem__
+        which = which.tolist()
+        return [b"".join(map(get, which[a:b])) for a, b in zip(cut, cut[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known, new = self.chunks, set()
-        for own in split:
-            new.update(w for w in own if w not in known)
-        if new:
-            if len(known) + len(new) > MEMORY:
-                new = {w for own in split for w in own}
-            self._learn(new)
-        get = self.chunks.__getitem__
-        return [b"".join(map(get, own)) for own in split]
+        out: list[bytes] = [b""] * len(texts)
+        simple = []
+        for i, text in enumerate(texts):
+            if _SIMPLE.fullmatch(text):
+                simple.append(i)
+            elif "<|" not in text and _LATIN.fullmatch(text) and unicodedata.is_normalized("NFC", text):
+                out[i] = b"".join(self._ids(_PIECE.findall(text.lower())))
+            else:
+                out[i] = self._plain(text)
+        for i, ids in zip(simple, self._simple([texts[i] for i in simple])):
+            out[i] = ids
+        return out
 
 
 _TOOLS: dict[str, WordTokenizer] = {}
