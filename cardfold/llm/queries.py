@@ -6,12 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardfold.llm import decontaminate, neardup, packing
+from cardfold.llm import decontaminate, neardup, packing, sanitise, toxicity
 from cardfold.llm.common import digest, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sanitise.sanitise(docs, only_private=True)
+    spans = F.col("spans")
+    counts = [sanitise.n_of(spans, kind).alias(f"n_{kind}") for kind in sanitise.KINDS[:4]]
+    base = F.sha2(sanitise.listed(spans, base=True).cast("binary"), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), sanitise.listed(spans).alias("spans"))
+
+
 def op5_benchmark_decontamination(spark, sf_dir):
     found = decontaminate.find_matches(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -41,6 +50,14 @@ def op8_best_fit_packing(spark, sf_dir):
     )
 
 
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.model_of(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model, keep_text=False)
+    predicted = (F.col("score") >= 0.7).cast("int")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
