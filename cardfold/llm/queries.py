@@ -6,12 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardfold.llm import decontaminate, neardup, packing, sanitise, toxicity
+from cardfold.llm import (
+    decontaminate,
+    extract_text,
+    fingerprint,
+    kdshard,
+    neardup,
+    packing,
+    sanitise,
+    toxicity,
+    urlfilter,
+)
 from cardfold.llm.common import digest, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_kd_sharding(spark, sf_dir):
+    placed = kdshard.shard(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op3_html_extraction(spark, sf_dir):
+    found = extract_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"), keep_html=False)
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = sanitise.sanitise(docs, only_private=True)
@@ -42,6 +70,28 @@ def op6_minhash_neardup(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+#: (verdict, host, path): the rules that this query is asked for.
+RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+
+
+def op7_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
+    found = urlfilter.match(pages, rules)
+    return found.select(
+        "page_id",
+        F.col("url_host").alias("host"),
+        F.col("url_path").alias("path"),
+        F.col("url_rule").alias("rule"),
+        F.col("url_verdict").alias("verdict"),
+    )
+
+
 def op8_best_fit_packing(spark, sf_dir):
     pieces = packing.tokenized_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
     packed = packing.pack(pieces)
@@ -50,6 +100,27 @@ def op8_best_fit_packing(spark, sf_dir):
     )
 
 
+def op9_scaled_sketch(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumns({"tie": F.xxhash64("text"), "n_chars": F.char_length("text").cast("long")})
+    docs = fingerprint.with_sketch(docs, "text", "sketch")
+    docs = fingerprint.with_next(docs, "doc_id", "tie", ["text", "sketch"])
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    kept = F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int"))
+    docs = docs.withColumn("edited", F.concat(kept, F.substring("next_text", F.lit(1), half)))
+    docs = fingerprint.with_sketch(docs.drop("text", "next_text"), "edited", "edited_sketch")
+    own, edited = F.col("sketch"), F.col("edited_sketch")
+    return docs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint.fingerprint(own).alias("fingerprint"),
+        fingerprint.fingerprint(edited).alias("edited_fingerprint"),
+        fingerprint.containment(own, edited).alias("near_edited"),
+        fingerprint.containment(own, F.col("next_sketch")).alias("near_next"),
+    )
+
+
 def op10_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.model_of(docs, table(spark, sf_dir, "labels"))
