@@ -76,3 +76,18 @@ u AS (
 )
 SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)
 """
+
+#: Each window of 13 words with the smallest document that has it.
+ORACLES["op1_substring_dedup"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i,
+    unnest(list_transform(range(1, len(ws) - 11), i -> array_to_string(ws[i:i+12], ' '))) AS g
+  FROM w WHERE len(ws) >= 13
+), low AS (SELECT g, min(doc_id) AS low FROM g GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN low USING (g) WHERE low < doc_id),
+out AS (SELECT doc_id, list(p) AS ps, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_filter(ws, (x, i) -> ps IS NULL OR NOT list_contains(ps, i)), ' ')) AS kept_sha256
+FROM w LEFT JOIN out USING (doc_id)
+"""

@@ -14,6 +14,7 @@ from cardfold.llm import (
     neardup,
     packing,
     sanitise,
+    substring,
     toxicity,
     urlfilter,
 )
@@ -22,6 +23,17 @@ from cardfold.llm.common import digest, table, tokenizer_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark, sf_dir):
+    found = substring.deduplicate(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        removed.alias("n_removed"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op2_kd_sharding(spark, sf_dir):
     placed = kdshard.shard(table(spark, sf_dir, "documents"), shards=40)
     return placed.select(
