@@ -5,17 +5,17 @@ name an identity group are paired with copies that name other groups, and the
 loss penalises the squared difference of the two logits (counterfactual logit
 pairing), so neutral mentions of a group do not move the score.
 
-Features are counted over all labelled rows; the weights are fitted on a bounded
-sample of them (``sample``, taken by a hash of the id); scoring reads every whole
-text.
+The classifier is fitted on a bounded sample of the labels, taken by a hash of the
+id: features are counted over ``label_rows`` labels, weights fitted on ``sample`` of
+them; scoring reads every whole text.
 
 Features are presence, not counts. Only those are fitted whose presence depends on
 the label beyond chance (chi-squared against the number of features tried), so the
 many rare words of a long text do not add up to a score.
 
 Defined results. Null or empty text: the model's bias. Labels, language, source
-and id never enter a score. Without any labelled row of both classes, scores are
-the share of label 1, or 0.
+and id never enter a score. Without labels of both classes, scores are near
+the only label, or near 0 without any.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cardfold.llm.common import free_name, slices, store
 
+LABEL_ROWS = 200_000
 SAMPLE = 16_000
 LEAST_DOCS = 3
 FEATURES = 5_000
@@ -185,26 +186,22 @@ def fit(names: dict[str, int], rows: list[tuple[int, list[int], list[int] | None
 
 
 def train(
-    labelled: DataFrame,
-    text_col: str = "text",
-    label_col: str = "toxic",
-    id_col: str = "doc_id",
-    sample: int = SAMPLE,
+    rows: DataFrame,
+    fit_below: int,
     least_docs: int = LEAST_DOCS,
     most_features: int = FEATURES,
     penalty: float = 1.0,
     ridge: float = 0.003,
     rounds: int = 600,
 ) -> Model:
-    """Features are chosen over all labelled rows; weights are fitted on at most
-    ``sample`` of them, those with the smallest hashes of their ids.
+    """Features are chosen over all ``rows`` (h, y, text); weights are fitted on
+    those whose hash ``h`` is at most ``fit_below``.
     """
-    label = F.col(label_col).cast("int")
-    rows = labelled.where(label.isin(0, 1) & F.col(text_col).isNotNull())
-    rows = rows.select(F.xxhash64(F.col(id_col)).alias("h"), label.alias("y"), F.col(text_col).alias("text"))
+    rows = rows.where(F.col("text").isNotNull())
     names = {f: i for i, f in enumerate(telling_features(rows.select("y", "text"), least_docs, most_features))}
-    indexed = rows.mapInArrow(_indexed(names), "h bigint, y int, own array<int>, swaps array<int>")
-    held = indexed.orderBy("h").limit(sample).select("y", "own", "swaps").collect()
+    few = rows.where(F.col("h") <= fit_below).select("h", "y", "text")
+    indexed = few.mapInArrow(_indexed(names), "h bigint, y int, own array<int>, swaps array<int>")
+    held = sorted(indexed.collect(), key=lambda r: (r["h"], r["y"], r["own"]))
     return fit(names, [(r["y"], r["own"], r["swaps"]) for r in held], penalty, ridge, rounds)
 
 
@@ -232,11 +229,31 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def model_of(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> Model:
-    """Trained on the labelled documents that are not held out."""
-    named = labels.where(~held_out(F.col(id_col))).select(id_col, F.col("toxic").alias("toxic"))
-    rows = docs.select(id_col, "text").join(named.dropDuplicates([id_col]), id_col)
-    return train(rows, id_col=id_col, **options)
+def model_of(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    label_rows: int = LABEL_ROWS,
+    sample: int = SAMPLE,
+    **options,
+) -> Model:
+    """Trained on labelled documents that are not held out.
+
+    At most ``label_rows`` labels are used, those with the smallest hashes of their
+    ids; their ids are sent to the documents, so no text is shuffled. The weights
+    are fitted on the first ``sample`` of them.
+    """
+    label = F.col(label_col).cast("int")
+    named = labels.where(~held_out(F.col(id_col)) & label.isin(0, 1))
+    named = named.select(id_col, F.xxhash64(F.col(id_col)).alias("h"), label.alias("y")).dropDuplicates([id_col])
+    chosen = store(named.orderBy("h").limit(label_rows), "labels")
+    cut = chosen.orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    if cut is None:
+        return Model({}, np.zeros(0), -30.0)
+    rows = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(chosen), id_col)
+    return train(rows.select("h", "y", "text"), cut, **options)
 
 
 def keep_civil(docs: DataFrame, model: Model, least: float = 0.7, **options) -> DataFrame:
