@@ -31,7 +31,7 @@ def with_sketch(df: DataFrame, text: str, out: str, scale: int = SCALE) -> DataF
     starts = F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0)))
     each = F.transform(starts, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(SHINGLE))))
     df = df.withColumn(hashes, F.when(F.size(words) > 0, each).otherwise(F.array().cast("array<bigint>")))
-    below = F.lit(-(1 << 63) + (1 << 64) // scale)
+    below = F.lit(min((1 << 64) // scale - (1 << 63), (1 << 63) - 1))
     df = df.withColumn(out, F.filter(hashes, lambda h: h < below))
     least = F.when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(F.col(hashes))
     kept = F.when(F.size(out) > 0, F.sort_array(F.array_distinct(out))).otherwise(least)

@@ -44,7 +44,7 @@ HASHES = 128
 BANDS = 32
 BATCH = 32
 MISS = 1e-5
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 _rng = np.random.RandomState(20240229)
 _MULT = _rng.randint(0, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -147,7 +147,7 @@ class Bounds:
 class Sets:
     """Shingle hashes by key, rebuilt from the text when memory is short."""
 
-    def __init__(self, limit: int = 64 << 20):
+    def __init__(self, limit: int = 16 << 20):
         self.held, self.size, self.limit = OrderedDict(), 0, limit
 
     def get(self, key, text: bytes) -> np.ndarray:
@@ -301,7 +301,7 @@ def link_classes(
     percent: int = 75,
     miss: float = MISS,
     block_rows: int = 1000,
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 4 << 20,
 ) -> DataFrame | None:
     """(node, root) for the representatives linked with another one; None without any.
 

@@ -10,7 +10,7 @@ WITH RECURSIVE w AS (
   FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-      ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i+4], ' ')) END) AS g
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END) AS g
   FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 shared AS (
@@ -41,12 +41,12 @@ WITH dw AS (
   FROM benchmark
 ), bg AS (
   SELECT DISTINCT item_id, least(13, len(ws)) AS size,
-    unnest(list_transform(range(1, len(ws) - least(13, len(ws)) + 2), i -> array_to_string(ws[i:i + least(13, len(ws)) - 1], ' '))) AS g
+    unnest(list_transform(range(1, len(ws) - least(13, len(ws)) + 2), lambda i: array_to_string(ws[i:i + least(13, len(ws)) - 1], ' '))) AS g
   FROM bw WHERE len(ws) > 0
 ), sizes AS (SELECT DISTINCT size FROM bg),
 dg AS (
   SELECT doc_id, size, unnest(range(1, len(ws) - size + 2)) AS i,
-    unnest(list_transform(range(1, len(ws) - size + 2), i -> array_to_string(ws[i:i + size - 1], ' '))) AS g
+    unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) AS g
   FROM dw, sizes WHERE len(ws) >= size
 ), hits AS (SELECT doc_id, i, dg.size, item_id FROM dg JOIN bg ON dg.g = bg.g AND dg.size = bg.size),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
@@ -82,12 +82,12 @@ ORACLES["op1_substring_dedup"] = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 g AS (
   SELECT doc_id, unnest(range(1, len(ws) - 11)) AS i,
-    unnest(list_transform(range(1, len(ws) - 11), i -> array_to_string(ws[i:i+12], ' '))) AS g
+    unnest(list_transform(range(1, len(ws) - 11), lambda i: array_to_string(ws[i:i+12], ' '))) AS g
   FROM w WHERE len(ws) >= 13
 ), low AS (SELECT g, min(doc_id) AS low FROM g GROUP BY g),
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN low USING (g) WHERE low < doc_id),
 out AS (SELECT doc_id, list(p) AS ps, count(*) AS n_removed FROM gone GROUP BY doc_id)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
-  sha256(array_to_string(list_filter(ws, (x, i) -> ps IS NULL OR NOT list_contains(ps, i)), ' ')) AS kept_sha256
+  sha256(array_to_string(list_filter(ws, lambda x, i: ps IS NULL OR NOT list_contains(ps, i)), ' ')) AS kept_sha256
 FROM w LEFT JOIN out USING (doc_id)
 """

@@ -40,9 +40,9 @@ CAPACITY = 2048
 GROUPS = 1024
 #: Pieces of up to this many tokens are small.
 SMALL = CAPACITY // 8
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 #: Pieces a worker remembers.
-MEMORY = 600_000
+MEMORY = 360_000
 
 #: What the tokenizer takes as one piece before merging (fixed by its file).
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -78,6 +78,7 @@ class WordTokenizer:
         for word, i in self.tool.get_vocab(with_added_tokens=False).items():
             self.ends[i] = word.endswith("</w>")
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.kinds = np.array([_kind(chr(c)) for c in range(0x250)], np.uint8)
         self.power = np.ones(1, np.uint64)
         self.inverse = np.ones(1, np.uint64)
@@ -86,20 +87,23 @@ class WordTokenizer:
         return array("I", self.tool.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        new = [p for p in pieces if p not in self.pieces]
-        if len(self.pieces) + len(new) > MEMORY:
-            self.pieces, new = {}, pieces
+        if len(self.pieces) > MEMORY // 2:
+            # Rare pieces fall out with the older half; the others come back from it.
+            self.older, self.pieces = self.pieces, {}
+        known, older = self.pieces, self.older
+        missing = [p for p in pieces if p not in known]
+        known.update((p, older[p]) for p in missing if p in older)
+        new = list(dict.fromkeys(p for p in missing if p not in known))
         if new:
-            new = list(dict.fromkeys(new))
             ids = self.tool.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids
             ids = np.array(ids, np.uint32)
             cuts = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             if len(cuts) == len(new):
                 raw = ids.tobytes()
-                self.pieces.update((p, raw[a:b]) for p, a, b in zip(new, [0, *cuts], cuts))
+                known.update((p, raw[a:b]) for p, a, b in zip(new, [0, *cuts], cuts))
             else:
-                self.pieces.update((p, self._plain(p)) for p in new)
-        return list(map(self.pieces.__getitem__, pieces))
+                known.update((p, self._plain(p)) for p in new)
+        return list(map(known.__getitem__, pieces))
 
     def _powers(self, n: int) -> None:
         if len(self.power) < n:
