@@ -42,7 +42,7 @@ GROUPS = 1024
 SMALL = CAPACITY // 8
 SLICE_BYTES = 2 << 20
 #: Pieces a worker remembers.
-MEMORY = 360_000
+MEMORY = 240_000
 
 #: What the tokenizer takes as one piece before merging (fixed by its file).
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
