@@ -57,7 +57,10 @@ def read_master(spark: SparkSession, path: str) -> DataFrame:
         "master",
     )
     files = placed.groupBy("_file").agg(F.min("_at").alias("_start"), F.count("*").alias("_n"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # Part numbers outgrow their padding: part-100000 follows part-99999.
+    part = F.regexp_extract("_file", r"part-([0-9]+)[^/]*$", 1)
+    part = F.when(part == "", F.lit(None)).otherwise(part).cast("long")
+    before = Window.orderBy(part.asc_nulls_first(), "_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select(
         "_file", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
@@ -73,6 +76,8 @@ def _write_csv(df: DataFrame, path: str, quote_all: bool) -> None:
     (
         df.write.mode("overwrite")
         .options(header=True, quoteAll=quote_all, escape='"', emptyValue='""' if quote_all else "")
+        # Values are written as they are, blanks at their edges too.
+        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)
     )
 
