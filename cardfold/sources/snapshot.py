@@ -54,18 +54,22 @@ def resolve_attempts(
     """One row per URL: the first success among its first ``max_attempts``
     attempts (numbered from 1), else the last failure among them.
 
-    The attempt filter reaches the scan, and the rank filter is applied before
-    the shuffle too, so a URL with endless attempts sends a few rows per task.
+    The first ``max_attempts`` rows of a URL count, whatever their numbers; equal
+    numbers go by fetch time. Both rank filters are applied before the shuffle
+    too, so a URL with endless attempts sends a few rows per task.
     """
     if max_attempts < 1:
         raise ValueError("max_attempts must be at least 1")
     ok = succeeded() if ok is None else ok
+    times = [name for name in ("fetched_at",) if name in log.columns]
+    tries = Window.partitionBy(url_col).orderBy("attempt", *times)
     order = Window.partitionBy(url_col).orderBy(
-        ok.desc(), F.when(ok, F.col("attempt")).otherwise(-F.col("attempt"))
+        ok.desc(), F.when(ok, F.col("_try")).otherwise(-F.col("_try"))
     )
     return (
-        log.where(F.col("attempt") <= max_attempts)
+        log.withColumn("_try", F.row_number().over(tries))
+        .where(F.col("_try") <= max_attempts)
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") == 1)
-        .drop("_rank")
+        .drop("_rank", "_try")
     )
