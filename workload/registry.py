@@ -39,16 +39,16 @@ _DIRECTORY = f"{src.ROOT}/directory/"
 
 
 # --- functions ----------------------------------------------------------------
-def _column(table: str, keys: list[str], name: str, column: F.Column) -> Query:
+def _column(table: str, keys: list[str], name: str, column: Callable[[], F.Column]) -> Query:
     def run(spark, sf_dir):
         rows = spread(src.read(spark, sf_dir, table))
-        return rows.select(*keys, column.alias(name))
+        return rows.select(*keys, column().alias(name))
 
     return run
 
 
-def _listing_column(name: str, column: F.Column) -> Query:
-    return lambda spark, sf_dir: src.listings(spark, sf_dir).select("ord", column.alias(name))
+def _listing_column(name: str, column: Callable[[], F.Column]) -> Query:
+    return lambda spark, sf_dir: src.listings(spark, sf_dir).select("ord", column().alias(name))
 
 
 def decode_tel_parts(spark, sf_dir):
@@ -395,23 +395,23 @@ def flagship(spark, sf_dir):
 def queries() -> dict[str, Query]:
     c = F.col
     return {
-        "clean_text_documents": _column("documents", ["doc_id"], "cleaned", text.clean_text(c("text"))),
-        "clean_display_documents": _column("documents", ["doc_id"], "cleaned", text.clean_display_text(c("text"))),
+        "clean_text_documents": _column("documents", ["doc_id"], "cleaned", lambda: text.clean_text(c("text"))),
+        "clean_display_documents": _column("documents", ["doc_id"], "cleaned", lambda: text.clean_display_text(c("text"))),
         "clean_display_conversations": _column(
-            "conversations", ["conv_id", "turn"], "cleaned", text.clean_display_text(c("text"))
+            "conversations", ["conv_id", "turn"], "cleaned", lambda: text.clean_display_text(c("text"))
         ),
-        "clean_phone_listings": _listing_column("phone", phone.clean_phone(c("phone"))),
+        "clean_phone_listings": _listing_column("phone", lambda: phone.clean_phone(c("phone"))),
         "phone_match_key_listings": _listing_column(
-            "match_key", phone.phone_match_key(phone.clean_phone(c("phone")))
+            "match_key", lambda: phone.phone_match_key(phone.clean_phone(c("phone")))
         ),
         "decode_tel_parts": decode_tel_parts,
-        "clean_url_pages": _column("pages", ["page_id"], "cleaned", urls.clean_url(c("url"))),
-        "category_slug_pages": _column("pages", ["page_id"], "slug", urls.category_slug(c("url"))),
+        "clean_url_pages": _column("pages", ["page_id"], "cleaned", lambda: urls.clean_url(c("url"))),
+        "category_slug_pages": _column("pages", ["page_id"], "slug", lambda: urls.category_slug(c("url"))),
         "input_url_pages": input_url_pages,
         "category_key_customers": category_key_customers,
         "listed_count_parts": listed_count_parts,
         "completeness_listings": _listing_column(
-            "filled", text.completeness(*[c(name) for name in OUTPUT_FIELDS])
+            "filled", lambda: text.completeness(*[c(name) for name in OUTPUT_FIELDS])
         ),
         "clean_records_listings": clean_records_listings,
         "quarantine_listings": quarantine_listings,
