@@ -20,10 +20,7 @@ from cardfold.functions.phone import phone_match_key
 from cardfold.functions.text import clean_text, completeness
 from cardfold.functions.urls import clean_url
 from cardfold.schema import OUTPUT_FIELDS
-from cardfold.session import materialize
-
-_MAX_ORD = 1 << 59
-_SPLIT_ROWS = 1_000_000
+from cardfold.session import materialize, supersede
 
 
 def alias_rows(records: DataFrame, *keep: Column) -> DataFrame:
@@ -62,49 +59,39 @@ def alias_rows(records: DataFrame, *keep: Column) -> DataFrame:
     return rows.where(F.col("a").isNotNull()).select(*kept, "a.rank", "a.alias")
 
 
-def _score(ord_: Column, filled: Column) -> Column:
-    """Orders group members: fuller first, then earlier; one long per record."""
-    return filled.cast("long") * F.lit(_MAX_ORD) - ord_
-
-
-def _ord_of(score: Column) -> Column:
-    return F.pmod(-score, F.lit(_MAX_ORD))
+def _fullest(ord_: Column, filled: Column) -> Column:
+    """The ``ord`` of the fullest member, the earliest of equals. One partially
+    aggregated minimum for each possible fullness."""
+    earliest = [F.min(F.when(filled == n, ord_)) for n in range(len(OUTPUT_FIELDS), -1, -1)]
+    return F.coalesce(*earliest)
 
 
-def _latest_anchor(events: DataFrame, size: int, split_rows: int) -> DataFrame:
+def _latest_anchor(events: DataFrame) -> DataFrame:
     """For each chooser the latest earlier anchor of its alias: ``(ord, parent)``.
 
     ``events`` has ``rank, first, ord, anchor`` (rank and first holder name an
-    alias) and at most ``size`` rows. Large inputs are first cut into ranges of
-    ``ord``; a hot alias is then sorted range by range, and only one row per
-    alias and range carries its last anchor over.
+    alias). It is cut into ranges of ``ord``; a hot alias is then sorted range by
+    range, and only one row per alias and range carries its last anchor over.
     """
     alias = ["rank", "first"]
     anchor_ord = F.when(F.col("anchor"), F.col("ord"))
-    if size <= split_rows:
-        earlier = Window.partitionBy(*alias).orderBy("ord").rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        found = events.withColumn("near", F.max(anchor_ord).over(earlier))
-        parent = F.coalesce("near", "first")
-    else:
-        ranged = events.repartitionByRange(-(-size // split_rows), "ord")
-        ranged = materialize(ranged.withColumn("part", F.spark_partition_id()), "anchors")
-        inside = Window.partitionBy(*alias, "part").orderBy("ord").rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        before = Window.partitionBy(*alias).orderBy("part").rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        carried = (
-            ranged.groupBy(*alias, "part")
-            .agg(F.max(anchor_ord).alias("last"))
-            .select(*alias, "part", F.max("last").over(before).alias("carried"))
-        )
-        found = ranged.withColumn("near", F.max(anchor_ord).over(inside)).join(
-            carried, [*alias, "part"]
-        )
-        parent = F.coalesce("near", "carried", "first")
+    ranged = events.repartitionByRange("ord")
+    ranged = materialize(ranged.withColumn("part", F.spark_partition_id()), "anchors")
+    inside = Window.partitionBy(*alias, "part").orderBy("ord").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    before = Window.partitionBy(*alias).orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    carried = (
+        ranged.groupBy(*alias, "part")
+        .agg(F.max(anchor_ord).alias("last"))
+        .select(*alias, "part", F.max("last").over(before).alias("carried"))
+    )
+    found = ranged.withColumn("near", F.max(anchor_ord).over(inside)).join(
+        carried, [*alias, "part"]
+    )
+    parent = F.coalesce("near", "carried", "first")
     return found.where(~F.col("anchor")).select("ord", parent.alias("parent"))
 
 
@@ -115,7 +102,8 @@ def _roots(edges: DataFrame) -> DataFrame:
         up = edges.select(F.col("ord").alias("parent"), F.col("parent").alias("above"))
         if up.join(edges.select("parent").distinct(), "parent", "left_semi").isEmpty():
             return edges
-        edges = materialize(
+        edges = supersede(
+            edges,
             edges.join(up, "parent", "left").select(
                 "ord", F.coalesce("above", "parent").alias("parent")
             ),
@@ -157,7 +145,7 @@ def _shared_aliases(records: DataFrame) -> DataFrame:
     return shared.withColumn("via", via)
 
 
-def parent_edges(shared: DataFrame, split_rows: int = _SPLIT_ROWS) -> DataFrame:
+def parent_edges(shared: DataFrame) -> DataFrame:
     """``(ord, parent)`` for every record that joins an earlier group."""
     # Every later holder of a URL joins through it, so its run starts at the
     # first holder; the same holds for records known by nothing but their name.
@@ -180,34 +168,30 @@ def parent_edges(shared: DataFrame, split_rows: int = _SPLIT_ROWS) -> DataFrame:
     events = held.select("rank", "first", "ord", (F.col("via") != F.col("rank")).alias("anchor"))
     chosen = events.where(~F.col("anchor")).select("rank", "first").distinct()
     events = events.join(chosen, ["rank", "first"], "left_semi")
-    # A record is an event once per name alias, so twice at most.
-    return direct.unionByName(_latest_anchor(events, 2 * shared.count(), split_rows))
+    return direct.unionByName(_latest_anchor(events))
 
 
-def group_winners(records: DataFrame, split_rows: int = _SPLIT_ROWS) -> tuple[DataFrame, DataFrame]:
+def group_winners(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records that share an alias, and ``(ord, founder)`` of the winners among
     them: one per group, the fullest record, the earliest of equals."""
-    bounded = F.when(
-        (F.col("ord") >= 0) & (F.col("ord") < _MAX_ORD), F.col("ord")
-    ).otherwise(F.raise_error(F.lit("ord must lie in 0 .. 2^59-1")).cast("long"))
-    shared = materialize(_shared_aliases(records.withColumn("ord", bounded)), "shared")
-    roots = _roots(parent_edges(shared, split_rows))
+    shared = materialize(_shared_aliases(records), "shared")
+    roots = _roots(parent_edges(shared))
     members = shared.select("ord", "filled").join(roots, "ord", "left")
     winners = (
         members.groupBy(F.coalesce("parent", "ord").alias("founder"))
-        .agg(F.max(_score(F.col("ord"), F.col("filled"))).alias("best"))
-        .select(_ord_of(F.col("best")).alias("ord"), "founder")
+        .agg(_fullest(F.col("ord"), F.col("filled")).alias("ord"))
+        .select("ord", "founder")
     )
     return shared.select("ord"), winners
 
 
-def deduplicate(records: DataFrame, split_rows: int = _SPLIT_ROWS) -> DataFrame:
+def deduplicate(records: DataFrame) -> DataFrame:
     """One record per group, with ``founder``: the ``ord`` of the record that
     opened the group. Sort by ``founder`` for the output order.
 
     ``records`` is read several times: pass a stored table, not a long lineage.
     """
-    involved, winners = group_winners(records, split_rows)
+    involved, winners = group_winners(records)
     # One row per involved record; losers have no founder.
     verdict = (
         involved.select("ord", F.lit(None).cast("long").alias("founder"))

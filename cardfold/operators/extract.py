@@ -12,9 +12,9 @@ from cardfold import schema
 from cardfold.functions.phone import decode_tel
 from cardfold.functions.text import WS, clean_display_text, listed_count
 from cardfold.operators.html import (
+    first_inside,
     has,
     href_of,
-    inside,
     parse_pages,
     select_all,
     select_one,
@@ -29,6 +29,9 @@ _CATEGORY_SELECTORS = {
     "category_count": schema.CATEGORY_COUNT_SELECTOR,
 }
 _TEXT_FIELDS = ["business_name", "trade_category", "region", "description"]
+# What is looked up inside a listing card and inside a category card.
+_CARD_FIELDS = [*_TEXT_FIELDS, "phone", "listing_url"]
+_CATEGORY_CARD_FIELDS = ["category_name", "category_count"]
 
 
 def merge_selectors(overrides: dict[str, str] | None) -> dict[str, str]:
@@ -46,10 +49,10 @@ def _cards(bits: dict[str, int], limit: int | None) -> Column:
     if limit is not None:
         cards = F.slice(cards, 1, limit)
 
-    names = [*_TEXT_FIELDS, "phone", "listing_url"]
-
-    def first_hits(hits: Column) -> Column:
-        return F.struct(*[select_one(hits, bits[name]).alias(name) for name in names])
+    def first_hits(card: Column) -> Column:
+        return F.struct(
+            *[first_inside(els, card, k).alias(name) for k, name in enumerate(_CARD_FIELDS)]
+        )
 
     def fields(hit: Column, index: Column) -> Column:
         return F.struct(
@@ -60,8 +63,7 @@ def _cards(bits: dict[str, int], limit: int | None) -> Column:
             href_of(hit["listing_url"]).alias("listing_url"),
         )
 
-    within = F.transform(cards, lambda card: inside(els, card))
-    return F.transform(F.transform(within, first_hits), fields)
+    return F.transform(F.transform(cards, first_hits), fields)
 
 
 def _named(cards: Column) -> Column:
@@ -75,6 +77,12 @@ def _named(cards: Column) -> Column:
 def _category_mentions(bits: dict[str, int]) -> Column:
     """Category links (pass 1), then category cards (pass 2)."""
     els, texts = F.col("els"), F.col("texts")
+    listing = bits.get("listing", 0)
+
+    def field(card: Column, k: int) -> Column:
+        # In a listing card that is a category card too, the listing's fields come first.
+        return first_inside(els, card, k, F.when(has(card, listing), len(_CARD_FIELDS)).otherwise(0))
+
     links = F.transform(
         select_all(els, bits["category_link"]),
         lambda e: F.struct(
@@ -91,8 +99,8 @@ def _category_mentions(bits: dict[str, int]) -> Column:
             F.lit(2).alias("pass"),
             e["at"].alias("at"),
             e["data_url_abs"].alias("url"),
-            text_of(select_one(inside(els, e), bits["category_name"]), texts).alias("name"),
-            text_of(select_one(inside(els, e), bits["category_count"]), texts).alias("count_text"),
+            text_of(field(e, 0), texts).alias("name"),
+            text_of(field(e, 1), texts).alias("count_text"),
         ),
     )
     return F.concat(links, cards)
@@ -129,7 +137,8 @@ def page_facts(
     html_col: str = "html",
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """One row per page with the requested parts, from a single parse.
+    """One row per page with the requested parts, from a single parse; ``absent``
+    marks a null page.
 
     ``cards`` gives ``cards`` (raw fields per card), ``n_cards`` and ``named``
     (1-based positions of cards with a name); ``categories`` gives
@@ -146,8 +155,12 @@ def page_facts(
         wanted["detail"] = detail_selector
     keep = list(keep if keep is not None else [url_col])
     bits = selector_bits(wanted)
-    parsed = parse_pages(pages, wanted, url_col, html_col, keep)
-    columns = [F.col(name) for name in keep] + [F.col("parse_error")]
+    scopes = {"listing": _CARD_FIELDS} if "cards" in parts else {}
+    if "categories" in parts:
+        scopes["category_card"] = _CATEGORY_CARD_FIELDS
+    parsed = parse_pages(pages, wanted, url_col, html_col, keep, scopes)
+    columns = [F.col(name) for name in keep]
+    columns += [F.col("parse_error"), F.col("els").isNull().alias("absent")]
     if "cards" in parts:
         columns.append(_cards(bits, limit).alias("cards"))
     if "categories" in parts:

@@ -6,7 +6,9 @@ Everything that follows is a Column expression over those two arrays, so no
 page and no element is ever shuffled to be extracted:
 
 * descendants of ``els[i]`` are ``els[i+1 .. i+span]``;
-* the text of an element is ``texts[t0 .. t1-1]`` joined by one space.
+* the text of an element is ``texts[t0 .. t1-1]`` joined by one space;
+* ``firsts`` of a scope element (such as a card) are the places of the first hit
+  of each wanted selector inside it, so its fields need no search.
 
 Each text piece is stored once however deep the markup nests, which keeps the
 output linear in the page (lenient parsing lets unclosed tags nest without end).
@@ -51,6 +53,7 @@ ELEMENT_TYPE = T.StructType(
         T.StructField("data_url_abs", T.StringType()),
         T.StructField("rel", T.StringType()),
         T.StructField("cls", T.StringType()),
+        T.StructField("firsts", T.ArrayType(T.IntegerType())),
     ]
 )
 _PARSED_FIELDS = [
@@ -67,6 +70,7 @@ _ARROW_ELEMENT = pa.struct(
         (name, pa.string())
         for name in ("tag", "href", "href_abs", "data_url_abs", "rel", "cls")
     ]
+    + [("firsts", pa.list_(pa.int32()))]
 )
 
 _SIMPLE = re.compile(
@@ -237,6 +241,7 @@ class _PageReader(HTMLParser):
             "data_url_abs": self._resolve(data_url),
             "rel": values.get("rel"),
             "cls": values.get("class"),
+            "firsts": None,
         }
         self.els.append(element)
         self.hits_open += 1
@@ -266,18 +271,31 @@ class _PageReader(HTMLParser):
             self.hits_open -= 1
         return tag
 
-    def finish(self):
+    def finish(self, scopes):
         self.close()
         self.flush()
         while self.stack:
             self._pop()
-
-
-def _read_page(steps, url, html):
+        # One backward pass: the next hit of each wanted selector after each place.
+        following = {bit: len(self.els) for _, wanted in scopes for bit in wanted}
+        for element in reversed(self.els) if scopes else ():
+            at, hits = element["at"], element["hits"]
+            for scope, wanted in scopes:
+                if hits & scope:
+                    end = at + element["span"]
+                    element["firsts"] = (element["firsts"] or []) + [
+                        following[bit] if following[bit] <= end else None for bit in wanted
+                    ]
+            for bit in following:
+                if hits & bit:
+                    following[bit] = at
+
+
+def _read_page(steps, scopes, url, html):
     reader = _PageReader(steps, url)
     try:
         reader.feed(html)
-        reader.finish()
+        reader.finish(scopes)
     except AssertionError as exc:  # markup the standard parser rejects
         return [], [], str(exc) or "markup rejected"
     return reader.els, reader.texts, None
@@ -289,21 +307,28 @@ def parse_pages(
     url_col: str = "url",
     html_col: str = "html",
     keep: list[str] | None = None,
+    scopes: dict[str, list[str]] | None = None,
 ) -> DataFrame:
     """One row per page: ``keep`` columns, ``els``, ``texts``, ``parse_error``.
 
+    ``scopes`` names selectors whose hits carry ``firsts``, and the selectors
+    wanted inside them. An element that hits several scopes has the firsts of
+    all of them, in the order of ``scopes``.
+
     Only the kept columns, the URL and the HTML enter Python; the HTML does not
     come back. A null page gives null arrays.
     """
     keep = list(keep if keep is not None else [url_col])
     steps = compile_selectors(selectors)
+    bits = selector_bits(selectors)
+    scoped = [(bits[s], [bits[name] for name in names]) for s, names in (scopes or {}).items()]
     columns = list(dict.fromkeys([*keep, url_col, html_col]))
     source = pages.select(*columns)
     schema = T.StructType([source.schema[name] for name in keep] + _PARSED_FIELDS)
 
     def read_chunk(chunk):
         read = [
-            (None, None, None) if html is None else _read_page(steps, url, html)
+            (None, None, None) if html is None else _read_page(steps, scoped, url, html)
             for url, html in zip(chunk[url_col].to_pylist(), chunk[html_col].to_pylist())
         ]
         els, texts, errors = zip(*read)
@@ -340,9 +365,13 @@ def select_one(els: Column, bit: int) -> Column:
     return F.get(select_all(els, bit), F.lit(0))
 
 
-def inside(els: Column, element: Column) -> Column:
-    """Hits inside an element."""
-    return F.slice(els, element["at"] + 2, element["span"])
+def first_inside(els: Column, element: Column, k: int, scopes_before: Column | int = 0) -> Column:
+    """First hit inside a scope element of its ``k``-th wanted selector, or null.
+
+    ``scopes_before`` is the number of wanted selectors of earlier scopes that
+    the element hits too.
+    """
+    return F.get(els, F.get(element["firsts"], F.lit(k) + scopes_before))
 
 
 def text_of(element: Column, texts: Column) -> Column:

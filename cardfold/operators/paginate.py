@@ -18,12 +18,11 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardfold.operators.extract import listing_rows
 from cardfold.operators.records import failure_columns
-from cardfold.schema import pack_ord
-from cardfold.session import materialize
+from cardfold.session import materialize, supersede
 
 _ALL = (1 << 31) - 1
 
@@ -127,7 +126,7 @@ def walk_pages(seeds: DataFrame, pages: DataFrame, limit: int, max_pages: int) -
         open_seqs = _open_categories(walk, limit)
         if open_seqs.isEmpty():
             break
-        hops = materialize(_first_hops(pages) if hops is None else _doubled(hops), "hops")
+        hops = supersede(hops, _first_hops(pages) if hops is None else _doubled(hops), "hops")
         ahead = (
             walk.join(open_seqs, "seq", "left_semi")
             .join(hops, "url")
@@ -140,7 +139,8 @@ def walk_pages(seeds: DataFrame, pages: DataFrame, limit: int, max_pages: int) -
             )
         )
         # A page met again keeps its first place: that ends cycles.
-        walk = materialize(
+        walk = supersede(
+            walk,
             walk.unionByName(_steps(ahead))
             .groupBy("seq", "url")
             .agg(
@@ -217,6 +217,30 @@ def _spans(path: DataFrame, limit: int) -> DataFrame:
     return reduce(DataFrame.unionByName, spans)
 
 
+def _with_place(visits: DataFrame) -> DataFrame:
+    """``visits`` with ``place``, the cards taken before each page in crawl order.
+
+    Pages are cut into ranges of the crawl order; each range sums its own pages
+    and only one number per range is carried over. Listings are not moved.
+    """
+    taken = F.when(F.col("ok"), F.col("take")).otherwise(0).cast("long")
+    ranged = visits.withColumn("taken", taken).repartitionByRange("seq", "step")
+    ranged = materialize(ranged.withColumn("part", F.spark_partition_id()), "visits")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy("part")
+        .agg(F.sum("taken").alias("taken"))
+        .select("part", F.coalesce(F.sum("taken").over(before), F.lit(0)).alias("start"))
+    )
+    own = Window.partitionBy("part").orderBy("seq", "step").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        ranged.withColumn("within", F.coalesce(F.sum("taken").over(own), F.lit(0)))
+        .join(starts, "part")
+        .withColumn("place", F.col("start") + F.col("within"))
+        .drop("part", "taken", "start", "within")
+    )
+
+
 def paginate(
     seeds: DataFrame, facts: DataFrame, limit_per_category: int, max_pages: int = 1
 ) -> Pagination:
@@ -243,17 +267,18 @@ def paginate(
     )
     path = materialize(walk_pages(seeds, pages, limit_per_category, max_pages), "path")
     spans = _spans(path, limit_per_category)
-    visits = materialize(
+    visits = (
         path.join(spans, "seq")
         .where(F.col("step").between(F.col("first_step"), F.col("last_step")))
-        .select("seq", "step", "url", "ok", F.least("take", "n_cards").alias("take")),
-        "visits",
+        .select("seq", "step", "url", "ok", F.least("take", "n_cards").alias("take"))
     )
-    taken = visits.where(F.col("ok") & (F.col("take") > 0)).join(
+    placed = materialize(_with_place(visits), "visits")
+    visits = placed.drop("place")
+    taken = placed.where(F.col("ok") & (F.col("take") > 0)).join(
         facts.select("url", "cards"), "url"
     )
-    rows = listing_rows(taken, ["seq", "step"], F.slice("cards", 1, F.col("take")))
-    listings = rows.withColumn("ord", pack_ord(F.col("seq"), F.col("step"), F.col("card")))
+    rows = listing_rows(taken, ["seq", "step", "place"], F.slice("cards", 1, F.col("take")))
+    listings = rows.withColumn("ord", F.col("place") + F.col("card")).drop("place")
     errors = facts.where(F.col("error_type").isNotNull()).select(
         "url", "error_type", "error_message", "status_code", "fetched_at"
     )

@@ -61,9 +61,12 @@ def run_summary(
     generated_at: datetime | None = None,
     detail_metrics: DataFrame | None = None,
     category_metrics: DataFrame | None = None,
+    rejected: DataFrame | None = None,
 ) -> DataFrame:
     """The 21 summary values as one row.
 
+    ``rejected`` are the rows of ``raw`` set aside as invalid: no duplicates.
+
     Every input is reduced to one row of counts first; the rows are then put
     side by side with one more aggregate.
     """
@@ -76,6 +79,8 @@ def run_summary(
     ]
     if failures is not None:
         parts.append(failures.agg(F.count("*").alias("failed_urls_count")))
+    if rejected is not None:
+        parts.append(rejected.agg(F.count("*").alias("rejected")))
     parts += [m for m in (detail_metrics, category_metrics) if m is not None]
     rows = reduce(DataFrame.unionByName, [_long(part) for part in parts])
 
@@ -87,7 +92,9 @@ def run_summary(
     return rows.agg(
         value("total_raw_records").alias("total_raw_records"),
         value("total_raw_records").alias("total_records_scraped"),
-        (value("total_raw_records") - value("final_records")).alias("duplicates_removed"),
+        (value("total_raw_records") - value("rejected") - value("final_records")).alias(
+            "duplicates_removed"
+        ),
         value("final_records").alias("final_records"),
         *[value(f"missing_{name}").alias(f"missing_{name}") for name in _MISSING],
         value("failed_urls_count").alias("failed_urls_count"),

@@ -78,10 +78,9 @@ def build_facts(
     )
     rejected = F.col("error_type").isNull() & F.col("parse_error").isNotNull()
     # Neither a page nor an error is no fetch at all.
-    absent = F.col("error_type").isNull() & F.col("texts_missing")
+    absent = F.col("error_type").isNull() & F.col("absent")
     return (
-        facts.withColumn("texts_missing", _is_absent(parts))
-        .withColumn(
+        facts.withColumn(
             "error_message",
             F.when(rejected, F.col("parse_error"))
             .when(absent, F.lit(MISSING_MESSAGE))
@@ -93,16 +92,10 @@ def build_facts(
             .when(absent, F.lit(MISSING_TYPE))
             .otherwise(F.col("error_type")),
         )
-        .drop("texts_missing", "parse_error")
+        .drop("absent", "parse_error")
     )
 
 
-def _is_absent(parts: tuple[str, ...]):
-    if "cards" in parts:
-        return F.col("cards").isNull()
-    return F.col("mentions").isNull() if "categories" in parts else F.lit(False)
-
-
 def _check_url(spark: SparkSession, url: str) -> str:
     """The normalised form of one URL argument."""
     typed = normalize_input_url(F.lit(url))
@@ -288,6 +281,7 @@ def run_pipeline(
             generated_at,
             detail_metrics,
             category_metrics,
+            rejected,
         ),
         "summary",
     )

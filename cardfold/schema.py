@@ -79,26 +79,6 @@ SNAPSHOT_SCHEMA = T.StructType(
     ]
 )
 
-# ``ord`` packs the position of a listing so that sorting on one long restores
-# the crawl order: 17 bits of category, 28 bits of page, 14 bits of card.
-_STEP_BITS, _CARD_BITS, _SEQ_BITS = 28, 14, 17
-
-
-def pack_ord(seq: Column, step: Column, card: Column) -> Column:
-    """Position key of a listing; overflow of any part fails the job."""
-    fits = (
-        (seq < (1 << _SEQ_BITS)) & (step < (1 << _STEP_BITS)) & (card < (1 << _CARD_BITS))
-    )
-    packed = (
-        seq.cast("long") * F.lit(1 << (_STEP_BITS + _CARD_BITS))
-        + step.cast("long") * F.lit(1 << _CARD_BITS)
-        + card.cast("long")
-    )
-    return F.when(fits, packed).otherwise(
-        F.raise_error(F.lit("listing position does not fit the ord key")).cast("long")
-    )
-
-
 def check_listing_types(records: DataFrame) -> None:
     """Every listing column must exist and be text; fails at analysis time."""
     types = dict(records.dtypes)

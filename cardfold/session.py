@@ -32,8 +32,16 @@ def _fallback_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _fallback_dir()
+    """The folder all executors share: ``spark.checkpoint.dir``, else the one given
+    to ``setCheckpointDir``. Only a local master, where driver and tasks are one
+    machine, may do without and gets a temporary folder."""
+    context = spark.sparkContext
+    known = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if known:
+        return known
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _fallback_dir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -49,3 +57,19 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def supersede(old: DataFrame | None, df: DataFrame, label: str = "step") -> DataFrame:
+    """``materialize(df)``, then delete the table that ``old`` reads.
+
+    For loops: ``old`` is the table of the round before, which nothing reads once
+    the new one is written.
+    """
+    new = materialize(df, label)
+    if old is not None:
+        hadoop = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs
+        settings = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for folder in {name.rsplit("/", 1)[0] for name in old.inputFiles()}:
+            path = hadoop.Path(folder)
+            path.getFileSystem(settings).delete(path, True)
+    return new

@@ -7,17 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from cardfold.schema import SNAPSHOT_SCHEMA
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a file scan with too few splits one partition per core.
-
-    Parsing is CPU-bound, so a few big row groups should not pin it to a few
-    cores. A scan with enough splits is returned unchanged: at scale no page is
-    shuffled before it is parsed.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def with_snapshot_columns(pages: DataFrame) -> DataFrame:
     """Add the snapshot columns a page table lacks: one good attempt per row."""
     defaults = {"attempt": F.lit(1)}
@@ -40,7 +29,7 @@ def page_snapshot(spark: SparkSession, path: str, file_format: str = "parquet")
         )
     else:
         pages = spark.read.format(file_format).load(path)
-    return with_snapshot_columns(spread(pages))
+    return with_snapshot_columns(pages)
 
 
 def succeeded() -> Column:
@@ -55,14 +44,15 @@ def resolve_attempts(
     attempts (numbered from 1), else the last failure among them.
 
     The first ``max_attempts`` rows of a URL count, whatever their numbers; equal
-    numbers go by fetch time. Both rank filters are applied before the shuffle
+    numbers go by fetch time, then by a hash of the row. Both rank filters are applied before the shuffle
     too, so a URL with endless attempts sends a few rows per task.
     """
     if max_attempts < 1:
         raise ValueError("max_attempts must be at least 1")
     ok = succeeded() if ok is None else ok
     times = [name for name in ("fetched_at",) if name in log.columns]
-    tries = Window.partitionBy(url_col).orderBy("attempt", *times)
+    content = F.xxhash64(*[name for name, kind in log.dtypes if "map<" not in kind])
+    tries = Window.partitionBy(url_col).orderBy("attempt", *times, content)
     order = Window.partitionBy(url_col).orderBy(
         ok.desc(), F.when(ok, F.col("_try")).otherwise(-F.col("_try"))
     )

@@ -188,3 +188,13 @@ def test_null_page(spark):
     page = pages(spark, (BASE, None))
     assert extract.extract_listings(page).count() == 0
     assert extract.count_cards(page).first().n_cards == 0
+
+
+def test_unclosed_cards_take_linear_time(spark):
+    items = "".join(f"<li><a href='/p{i}'>shop {i}</a>" for i in range(50_000))
+    pages = spark.createDataFrame([("http://h/", f"<nav>{items}</nav>")], "url string, html string")
+    wanted = {"listing": "nav li", "business_name": "a", "listing_url": "a"}
+    found = extract.extract_listings_generic(pages, wanted).agg(
+        F.count("*").alias("n"), F.max("card").alias("last"), F.max_by("listing_url", "card").alias("url")
+    )
+    assert tuple(found.first()) == (50_000, 49_999, "http://h/p49999")

@@ -35,7 +35,7 @@ def test_a_hot_url_is_cut_before_the_shuffle(spark, tmp_path):
         "'u' AS url", "CAST(id % 3 + 1 AS INT) AS attempt", "'E' AS error_type", "'' AS html"
     ).write.parquet(path)
     plan = resolve_attempts(page_snapshot(spark, path))._jdf.queryExecution().toString()
-    assert "row_number(), 1, Partial" in plan
+    assert "row_number(), 3, Partial" in plan
 
 
 def test_materialize_uses_the_checkpoint_folder(spark):

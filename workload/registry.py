@@ -27,7 +27,7 @@ from cardfold.plans import jobs
 from cardfold.schema import CATEGORY_FIELDS, FAILURE_FIELDS, OUTPUT_FIELDS, to_output
 from cardfold.session import materialize, scratch_path
 from cardfold.sources import delimited
-from cardfold.sources.snapshot import page_snapshot, resolve_attempts, spread
+from cardfold.sources.snapshot import page_snapshot, resolve_attempts
 from workload import inputs as src
 from workload.oracles import LIMITED, UNLIMITED
 
@@ -41,7 +41,7 @@ _DIRECTORY = f"{src.ROOT}/directory/"
 # --- functions ----------------------------------------------------------------
 def _column(table: str, keys: list[str], name: str, column: Callable[[], F.Column]) -> Query:
     def run(spark, sf_dir):
-        rows = spread(src.read(spark, sf_dir, table))
+        rows = src.spread(src.read(spark, sf_dir, table))
         return rows.select(*keys, column().alias(name))
 
     return run
