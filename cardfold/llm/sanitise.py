@@ -4,10 +4,12 @@ Protected entities are the e-mail addresses, IP addresses, card numbers and phon
 numbers that the base patterns find. Corpus co-occurrence then estimates how
 strongly a term near an entity reveals it: with document counts over the whole
 corpus, PMI(term; entity) = log(p(term, entity) / (p(term) p(entity))), and the
-entity's own information is IC = -log p(entity). A term that co-occurs with an
-entity in ``least_docs`` documents or more and has PMI >= ``disclosure`` * IC
-discloses it: seeing the term gives away that share of the entity. Such terms are
-generalised, digits to ``0`` and letters to ``x``, wherever they stand within
+entity's own information is IC = -log p(entity). A term with PMI >= ``disclosure`` *
+IC discloses the entity: seeing the term gives away that share of it. No count of
+documents is needed for that. A pair met in fewer than ``least_docs`` documents is
+judged by a lower bound of its PMI, with the share of the entity's documents that
+have the term, p(term | entity), one standard error lower; so a term in every
+document of a rare entity counts in full. Such terms are generalised, digits to ``0`` and letters to ``x``, wherever they stand within
 ``context`` words of that entity; base spans are replaced by their kind.
 
 One pass counts terms (per batch, then over the corpus) and gathers the terms
@@ -164,13 +166,17 @@ def disclosures(docs: DataFrame, text_col: str, context: int, least_docs: int, d
     """(entity, term): the terms that give an entity away."""
     total = F.lit(docs.count())
     rows = docs.select(F.col(text_col).alias("text")).mapInArrow(_statistics(context), "entity string, term string, n bigint")
-    counts = store(rows.groupBy("entity", "term").agg(F.sum("n").alias("n")).where((F.col("n") >= least_docs) | F.col("term").isNull()), "terms")
+    counts = store(rows.groupBy("entity", "term").agg(F.sum("n").alias("n")), "terms")
     both = counts.where("entity is not null and term is not null")
     of_term = counts.where("entity is null").select("term", F.col("n").alias("n_term"))
     of_entity = counts.where("term is null").select("entity", F.col("n").alias("n_entity"))
     told = both.join(of_term, "term").join(of_entity, "entity")
-    pmi = F.log(F.col("n") * total / (F.col("n_term") * F.col("n_entity")))
-    return told.where(pmi >= F.lit(disclosure) * F.log(total / F.col("n_entity"))).select("entity", "term")
+    share = F.col("n") / F.col("n_entity")
+    lower = share - F.sqrt(share * (1 - share) / F.col("n_entity"))
+    seen = F.col("n") >= least_docs
+    pmi = F.log(F.when(seen, share).otherwise(lower) * total / F.col("n_term"))
+    # Without a bound on the count, no information about an entity of every document is not all of it.
+    return told.where((pmi >= F.lit(disclosure) * F.log(total / F.col("n_entity"))) & (seen | (pmi > 0))).select("entity", "term")
 
 
 def _found(names: list[str], text_col: str, spans_col: str, only_private: bool):

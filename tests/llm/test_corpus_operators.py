@@ -122,6 +122,16 @@ def test_revealing_terms_are_generalised(spark):
     assert sanitise.sanitise(docs.where("doc_id < 0")).count() == 0
 
 
+def test_terms_of_rare_entities_are_judged(spark):
+    rows = [(1, "filler agent K77b mail joe@site.example now"), (2, "filler Q5z ann@site.example now"), (3, "now Q5z by ann@site.example filler")]
+    rows += [(10 + i, f"filler agent mail by text number{i} now") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in sanitise.sanitise(docs).collect()}
+    assert got[1] == "filler agent x00x mail [EMAIL] now"
+    assert got[2] == "filler x0x [EMAIL] now" and got[3] == "now x0x by [EMAIL] filler"
+    assert all(got[i] == text for i, text in rows[3:])
+
+
 def test_decontaminate_edges(spark, docs):
     items = [(1, " ".join(BASE[20:36])), (1, None), (2, "one two"), (None, "!!")]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
