@@ -9,13 +9,15 @@ IC discloses the entity: seeing the term gives away that share of it. No count o
 documents is needed for that. A pair met in fewer than ``least_docs`` documents is
 judged by a lower bound of its PMI, with the share of the entity's documents that
 have the term, p(term | entity), one standard error lower; so a term in every
-document of a rare entity counts in full. Such terms are generalised, digits to ``0`` and letters to ``x``, wherever they stand within
-``context`` words of that entity; base spans are replaced by their kind.
+document of a rare entity counts in full. Such terms are generalised, digits to ``0`` and letters to ``x``, wherever they stand in any text,
+with or without an entity beside them; base spans are replaced by their kind.
+Co-occurrence is counted within ``context`` whole words on either side of an entity;
+a term that only ever stands further away is not judged.
 
 One pass counts terms (per batch, then over the corpus) and gathers the terms
-near each entity, so the statistics grow with the corpus; the rows with entities
-are joined with the disclosures of their entities. Rows without an entity are
-left alone.
+near each entity, so the statistics grow with the corpus. The terms of every
+document pass a bit filter of fixed size; what it lets through is joined with the
+disclosing terms, so a full filter costs rows, not results.
 
 Defined results. Null or empty text: no spans, text unchanged. Repeated rows are
 documents of their own. Ids may be null or repeated (rows are told apart by a
@@ -26,10 +28,11 @@ reported; in the text the earliest, then the longest of them is replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -40,6 +43,8 @@ CONTEXT = 5
 LEAST_DOCS = 3
 DISCLOSURE = 0.8
 SLICE_BYTES = 8 << 20
+#: Bits of the filter that tasks hold instead of the disclosing terms; its hits are joined with them.
+FILTER_BITS, BUCKET_BITS = 24, 15
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -48,7 +53,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_WORD = re.compile(r"\S+")  # as str.split() cuts
 _EDGE = ".,;:!?()[]{}\"'<>"
 
 SPANS = "array<struct<kind:string,start:int,stop:int,value:string>>"
@@ -100,28 +105,42 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind == 'email' else re.sub('[^0-9.]' if kind == 'ip' else '[^0-9]', '', value)}"
 
 
-def _near(text: str, spans: list[tuple[str, int, int]], context: int) -> Iterator[tuple[int, str, int, int]]:
-    """(span number, term, start, stop) of the words around each span, spans left out."""
-    for k, (_, start, stop) in enumerate(spans):
-        # A text without blanks is read around the span, not as one endless word.
-        left = text[max(0, start - 64 * context) : start]
-        before = [m.span() for m in _WORD.finditer(left)][-context:]
-        after = []
-        for m in _WORD.finditer(text, stop, min(len(text), stop + 64 * context)):
-            after.append(m.span())
-            if len(after) == context:
-                break
-        shift = start - len(left)
-        for a, b in [(a + shift, b + shift) for a, b in before] + after:
+def _gaps(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """The parts of the text that no span covers, in order."""
+    out, at = [], 0
+    for _, start, stop in sorted(spans, key=lambda s: s[1]):
+        if start > at:
+            out.append((at, start))
+        at = max(at, stop)
+    return [*out, (at, len(text))] if at < len(text) else out
+
+
+def _words(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, stop) of all words outside the spans, edge marks left out."""
+    out = []
+    for start, stop in _gaps(text, spans):
+        for m in _WORD.finditer(text, start, stop):
+            a, b = m.span()
             while a < b and text[a] in _EDGE:
                 a += 1
             while a < b and text[b - 1] in _EDGE:
                 b -= 1
-            if a < b and not any(a < s[2] and s[1] < b for s in spans):
-                yield k, text[a:b].lower(), a, b
+            out.append((m.group().lower().strip(_EDGE), a, b))
+    return out
+
+
+def _near(words: list[tuple[str, int, int]], spans: list[tuple[str, int, int]], context: int) -> Iterator[tuple[int, str]]:
+    """(span number, term) of the whole words around each span."""
+    starts = [a for _, a, _ in words]
+    for k, (_, start, stop) in enumerate(spans):
+        left, right = bisect_left(starts, start), bisect_left(starts, stop)
+        for term, _, _ in words[max(0, left - context) : left] + words[right : right + context]:
+            if term:
+                yield k, term
 
 
 def _terms(text: str) -> set[str]:
+    """The terms of a text without spans: those of ``_words``."""
     return {t for w in text.lower().split() if (t := w.strip(_EDGE))}
 
 
@@ -150,9 +169,13 @@ def _statistics(context: int):
                     spans = base_spans(text)
                     if spans:
                         names = [_entity(k, text[a:b]) for k, a, b in spans]
-                        counts.update({(names[k], t) for k, t, _, _ in _near(text, spans, context)})
+                        words = _words(text, spans)
+                        counts.update({(names[k], t) for k, t in _near(words, spans, context)})
                         counts.update((n, None) for n in set(names))
-                    counts.update((None, t) for t in _terms(text))
+                        terms = {t for t, _, _ in words if t}
+                    else:
+                        terms = _terms(text)
+                    counts.update((None, t) for t in terms)
                 if len(counts) > 300_000:
                     yield out()
                     counts.clear()
@@ -179,24 +202,46 @@ def disclosures(docs: DataFrame, text_col: str, context: int, least_docs: int, d
     return told.where((pmi >= F.lit(disclosure) * F.log(total / F.col("n_entity"))) & (seen | (pmi > 0))).select("entity", "term")
 
 
-def _found(names: list[str], text_col: str, spans_col: str, only_private: bool):
+def _filter_bits(terms: DataFrame) -> bytes:
+    """One bit for each value of the terms' CRC-32, cut to ``FILTER_BITS``; as large for any number of terms."""
+    value = F.crc32(F.col("term").cast("binary")) % (1 << FILTER_BITS)
+    bucket, at = F.shiftright(value, BUCKET_BITS).alias("bucket"), value % (1 << BUCKET_BITS)
+    rows = terms.groupBy(bucket).agg(F.bitmap_construct_agg(at).alias("bits")).collect()
+    size, out = 1 << (BUCKET_BITS - 3), bytearray(1 << (FILTER_BITS - 3))
+    for r in rows:
+        out[r["bucket"] * size : (r["bucket"] + 1) * size] = r["bits"]
+    return bytes(out)
+
+
+def _found(names: list[str], text_col: str, spans_col: str, told_col: str, sent, only_private: bool):
+    """Adds the base spans, and the terms of the text that pass the filter."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, top = sent.value, (1 << FILTER_BITS) - 1
         for batch in batches:
             for part in slices(batch, text_col, SLICE_BYTES):
                 texts = part.column(text_col).to_pylist()
                 found = [base_spans(t) if t else [] for t in texts]
-                if only_private:
-                    texts = [t if s else None for t, s in zip(texts, found)]
+                terms = [{w for w, _, _ in _words(t, s)} if s else _terms(t or "") for t, s in zip(texts, found)]
+                hits = set()
+                for t in set().union(*terms):
+                    v = crc32(t.encode()) & top
+                    if bits[v >> 3] >> (v & 7) & 1:
+                        hits.add(t)
                 rows = [
                     [{"kind": k, "start": a, "stop": b, "value": _entity(k, t[a:b])} for k, a, b in s] for t, s in zip(texts, found)
                 ]
+                told = [list(t & hits) for t in terms]
+                if only_private:
+                    texts = [t if s or w else None for t, s, w in zip(texts, found, told)]
                 columns = [pa.array(texts, pa.string()) if n == text_col else part.column(n) for n in names]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, _SPANS_ARROW)], [*names, spans_col])
+                added = [pa.array(rows, _SPANS_ARROW), pa.array(told, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*columns, *added], [*names, spans_col, told_col])
 
     return run
 
 
-def _applied(names: list[str], text_col: str, spans_col: str, told_col: str, context: int):
+def _applied(names: list[str], text_col: str, spans_col: str, told_col: str, only_private: bool):
     """Adds the term spans and rewrites the text of rows with spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,16 +249,18 @@ def _applied(names: list[str], text_col: str, spans_col: str, told_col: str, con
             texts, spans_out = [], []
             rows = zip(batch.column(text_col).to_pylist(), batch.column(spans_col).to_pylist(), batch.column(told_col).to_pylist())
             for text, spans, told in rows:
+                spans = spans or []
+                if told:
+                    told, base = set(told), [(s["kind"], s["start"], s["stop"]) for s in spans]
+                    extra = [(a, b) for t, a, b in _words(text, base) if t in told]
+                    spans = spans + [{"kind": "term", "start": a, "stop": b, "value": text[a:b]} for a, b in extra]
+                    spans.sort(key=lambda s: (s["start"], KINDS.index(s["kind"])))
+                spans_out.append(spans)
                 if not spans:
-                    texts.append(text), spans_out.append(spans or [])
+                    texts.append(None if only_private else text)
                     continue
-                pairs = {(d["entity"], d["term"]) for d in told or []}
-                base = [(s["kind"], s["start"], s["stop"]) for s in spans]
-                extra = {(a, b) for k, t, a, b in _near(text, base, context) if (spans[k]["value"], t) in pairs} if pairs else set()
-                every = spans + [{"kind": "term", "start": a, "stop": b, "value": text[a:b]} for a, b in sorted(extra)]
-                every.sort(key=lambda s: (s["start"], KINDS.index(s["kind"])))
                 parts, at = [], 0
-                for s in sorted(every, key=lambda s: (s["start"], -s["stop"])):
+                for s in sorted(spans, key=lambda s: (s["start"], -s["stop"])):
                     if s["start"] < at:
                         # an overlapping span: what it has beyond the last one goes too
                         at = max(at, s["stop"])
@@ -224,7 +271,6 @@ def _applied(names: list[str], text_col: str, spans_col: str, told_col: str, con
                     parts.append(general if s["kind"] == "term" else f"[{s['kind'].upper()}]")
                     at = s["stop"]
                 texts.append("".join([*parts, text[at:]]))
-                spans_out.append(every)
             columns = [pa.array(texts, pa.string()) if n == text_col else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans_out, _SPANS_ARROW)], [*names, spans_col])
 
@@ -246,18 +292,18 @@ def sanitise(
     the spans alone.
     """
     told = disclosures(docs, text_col, context, least_docs, disclosure)
-    told = store(told.groupBy("entity").agg(F.collect_set("term").alias("terms")), "disclosures")
+    told = store(told.select("term").distinct(), "disclosures")
+    sent = docs.sparkSession.sparkContext.broadcast(_filter_bits(told))
     kept = [f for f in docs.schema.fields if f.name != spans_col]
     names = [f.name for f in kept]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{spans_col}` {SPANS}"])
-    found = docs.mapInArrow(_found(names, text_col, spans_col, only_private), schema)
-    row, told_col = free_name(docs, "row"), free_name(docs, "told")
+    row, hit, told_col = free_name(docs, "row"), free_name(docs, "hit"), free_name(docs, "told")
+    found = docs.mapInArrow(_found(names, text_col, spans_col, hit, sent, only_private), f"{schema}, `{hit}` array<string>")
     found = store(found.withColumn(row, F.monotonically_increasing_id()), "spans")
-    entity = found.select(row, F.explode(F.array_distinct(F.transform(spans_col, lambda s: s["value"]))).alias("entity"))
-    pairs = entity.join(told, "entity").select(row, "entity", F.explode("terms").alias("term"))
-    pairs = pairs.groupBy(row).agg(F.collect_list(F.struct("entity", "term")).alias(told_col))
-    joined = found.join(pairs, row, "left").drop(row)
-    return joined.mapInArrow(_applied(names, text_col, spans_col, told_col, context), schema)
+    pairs = found.select(row, F.explode(hit).alias("term")).join(told, "term")
+    pairs = pairs.groupBy(row).agg(F.collect_list("term").alias(told_col))
+    joined = found.drop(hit).join(pairs, row, "left").drop(row)
+    return joined.mapInArrow(_applied(names, text_col, spans_col, told_col, only_private), schema)
 
 
 def listed(spans: Column, base: bool = False) -> Column:

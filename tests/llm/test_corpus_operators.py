@@ -132,6 +132,25 @@ def test_terms_of_rare_entities_are_judged(spark):
     assert all(got[i] == text for i, text in rows[3:])
 
 
+def test_revealing_terms_go_from_whole_texts(spark):
+    far = " ".join(f"filler word{i}" for i in range(30))
+    rows = [(i, f"agent (K77b), joe@site.example now filler {far} then k77B's K77B; ") for i in range(4)]
+    rows += [(5, f"K77b {far} filler"), (6, "y" * 400 + "\u00a0K77b.")]
+    rows += [(10 + i, f"filler agent now {far} number{i} K77bc then k77b's") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in sanitise.sanitise(docs, spans_col="own").collect()}
+    assert got[1].text == f"agent (x00x), [EMAIL] now filler {far} then k77B's x00x; "
+    assert got[5].text == f"x00x {far} filler" and got[6].text == "y" * 400 + "\u00a0x00x."
+    assert [(s.kind, s.start, s.stop) for s in got[5].own] == [("term", 0, 4)]
+    assert all(got[i].text == text for i, text in rows[6:])
+
+
+def test_near_terms_are_whole_words():
+    text = "long" * 100 + " a@b.example " + "word" * 100 + " x"
+    words = sanitise._words(text, spans := sanitise.base_spans(text))
+    assert list(sanitise._near(words, spans, 1)) == [(0, "long" * 100), (0, "word" * 100)]
+
+
 def test_decontaminate_edges(spark, docs):
     items = [(1, " ".join(BASE[20:36])), (1, None), (2, "one two"), (None, "!!")]
     bench = spark.createDataFrame(items, "item_id bigint, text string")
