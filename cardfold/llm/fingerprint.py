@@ -2,15 +2,17 @@
 
 A sketch keeps every shingle hash below a fixed fraction of the hash range, so two
 sketches of very unequal documents still estimate containment, and the sketch of a
-union is the union of sketches. The smallest hash is always kept, so no text with
-words has an empty sketch. Shingles are runs of five words, hashed to 64 bits; the
-fingerprint is the sorted hashes in hex.
+union is the union of sketches. Shingles are runs of five words, hashed to 64 bits.
+The fingerprint is the sorted hashes of the sketch in hex; a text with words whose
+sketch is empty has its smallest hash as fingerprint, which tells texts apart but
+takes no part in likeness.
 
-Likeness of a to b is the containment: the share of a's sketch that b's has.
+Likeness of a to b is the containment: the share of a's sketch that b's has. A text
+with fewer than ``FEW`` kept hashes is compared by all its hashes with all of b's.
 
 Defined results. Null or empty text: no shingles, empty fingerprint; fewer than five
-words: the whole sequence is the one shingle. The likeness of an empty sketch is 1
-to an empty one, else 0. Equal texts have equal fingerprints. Repeated ids are
+words: the whole sequence is the one shingle. The likeness of a text without shingles
+is 1 to another one, else 0. Equal texts have equal fingerprints. Repeated ids are
 ordered by a hash of their texts; rows without an id come last.
 """
 
@@ -21,30 +23,41 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SHINGLE = 5
 #: One hash in ``SCALE`` is kept.
 SCALE = 8
+#: Sketches with fewer hashes than this estimate nothing; the whole texts are compared.
+FEW = 8
 
 
-def with_sketch(df: DataFrame, text: str, out: str, scale: int = SCALE) -> DataFrame:
-    """``df`` with the sorted kept hashes of the text as an array of longs."""
-    words, hashes = f"{out}_words", f"{out}_hashes"
+def with_sketch(df: DataFrame, text: str, out: str, scale: int = SCALE, all_out: str | None = None) -> DataFrame:
+    """``df`` with the sorted kept hashes of the text as an array of longs.
+
+    ``all_out`` names a column for the sorted hashes of all shingles.
+    """
+    words, hashes = f"{out}_words", all_out or f"{out}_hashes"
     split = F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+")
     df = df.withColumn(words, F.filter(split, lambda w: w != ""))
     starts = F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0)))
     each = F.transform(starts, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(SHINGLE))))
-    df = df.withColumn(hashes, F.when(F.size(words) > 0, each).otherwise(F.array().cast("array<bigint>")))
+    each = F.when(F.size(words) > 0, each).otherwise(F.array().cast("array<bigint>"))
+    df = df.withColumn(hashes, F.sort_array(F.array_distinct(each)))
     below = F.lit(min((1 << 64) // scale - (1 << 63), (1 << 63) - 1))
-    df = df.withColumn(out, F.filter(hashes, lambda h: h < below))
-    least = F.when(F.size(hashes) > 0, F.array(F.array_min(hashes))).otherwise(F.col(hashes))
-    kept = F.when(F.size(out) > 0, F.sort_array(F.array_distinct(out))).otherwise(least)
-    return df.withColumn(out, kept).drop(words, hashes)
+    df = df.withColumn(out, F.filter(hashes, lambda h: h < below) if scale > 1 else F.col(hashes))
+    return df.drop(words) if all_out else df.drop(words, hashes)
 
 
-def fingerprint(sketch: Column) -> Column:
+def fingerprint(sketch: Column, hashes: Column | None = None) -> Column:
+    """The sketch in hex; with ``hashes``, those of all shingles, the smallest of them for an empty sketch."""
+    if hashes is not None:
+        sketch = F.when(F.size(sketch) > 0, sketch).otherwise(F.slice(hashes, 1, 1))
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def containment(a: Column, b: Column) -> Column:
+def containment(a: Column, b: Column, all_a: Column | None = None, all_b: Column | None = None) -> Column:
+    """The share of ``a`` that ``b`` has; with all hashes given, those decide where ``a`` keeps few."""
     empty = F.when(F.size(b) == 0, 1.0).otherwise(0.0)
-    return F.when(F.size(a) == 0, empty).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+    share = F.when(F.size(a) == 0, empty).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+    if all_a is None or all_b is None:
+        return share
+    return F.when(F.size(a) < FEW, containment(all_a, all_b)).otherwise(share)
 
 
 def with_next(df: DataFrame, id_col: str, tie: str, columns: list[str], parts: int | None = None) -> DataFrame:

@@ -115,21 +115,21 @@ def op8_best_fit_packing(spark, sf_dir):
 def op9_scaled_sketch(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumns({"tie": F.xxhash64("text"), "n_chars": F.char_length("text").cast("long")})
-    docs = fingerprint.with_sketch(docs, "text", "sketch")
-    docs = fingerprint.with_next(docs, "doc_id", "tie", ["text", "sketch"])
+    docs = fingerprint.with_next(docs, "doc_id", "tie", ["text"])
     half = F.floor(F.col("n_chars") / 2).cast("int")
     kept = F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int"))
     docs = docs.withColumn("edited", F.concat(kept, F.substring("next_text", F.lit(1), half)))
-    docs = fingerprint.with_sketch(docs.drop("text", "next_text"), "edited", "edited_sketch")
-    own, edited = F.col("sketch"), F.col("edited_sketch")
+    for text, name in (("text", "own"), ("edited", "edited"), ("next_text", "next")):
+        docs = fingerprint.with_sketch(docs, text, f"{name}_sketch", all_out=f"{name}_all")
+    own, edited, following = ((F.col(f"{n}_sketch"), F.col(f"{n}_all")) for n in ("own", "edited", "next"))
     return docs.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        fingerprint.fingerprint(own).alias("fingerprint"),
-        fingerprint.fingerprint(edited).alias("edited_fingerprint"),
-        fingerprint.containment(own, edited).alias("near_edited"),
-        fingerprint.containment(own, F.col("next_sketch")).alias("near_next"),
+        fingerprint.fingerprint(*own).alias("fingerprint"),
+        fingerprint.fingerprint(*edited).alias("edited_fingerprint"),
+        fingerprint.containment(own[0], edited[0], own[1], edited[1]).alias("near_edited"),
+        fingerprint.containment(own[0], following[0], own[1], following[1]).alias("near_next"),
     )
 
 

@@ -212,6 +212,21 @@ def test_fingerprint_containment(spark, docs):
     assert Counter(map(tuple, rows)) == Counter([(9, 8), (8, 8), (8, 7), (7, 6), (6, 5), (5, 4), (4, 3), (3, 2), (2, 1), (1, 9)])
 
 
+def test_short_texts_inside_long_ones(spark):
+    long = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(long[20 * i : 20 * i + 5 + i % 9]), " ".join(long)) for i in range(140)]
+    rows += [(900, "not in the long text", " ".join(long)), (901, "", "a b"), (902, " ", None)]
+    df = spark.createDataFrame(rows, "id int, short string, long string")
+    for name in ("short", "long"):
+        df = fingerprint.with_sketch(df, name, f"{name}_sketch", all_out=f"{name}_all")
+    own, other = ((F.col(f"{n}_sketch"), F.col(f"{n}_all")) for n in ("short", "long"))
+    near = fingerprint.containment(own[0], other[0], own[1], other[1]).alias("near")
+    got = {r.id: r for r in df.select("*", near, fingerprint.fingerprint(*own).alias("print")).collect()}
+    assert all(got[i].near == 1 for i in range(140)) and [got[i].near for i in (900, 901, 902)] == [0, 0, 1]
+    assert all(set(r.short_sketch) <= set(r.long_sketch) for r in got.values() if r.id < 140)
+    assert len({got[i].print for i in range(140)}) == 140 and got[901].print == ""
+
+
 def test_counterfactual_penalty_and_held_out_accuracy(spark):
     names = {"idiot": 0, "muslim": 1, "jewish": 2}
     rows = [(1, [0, 1], [0, 2])] * 20 + [(0, [2], [1])] * 20 + [(0, [], None)] * 20 + [(1, [0], None)] * 20
