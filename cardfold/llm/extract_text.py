@@ -6,8 +6,9 @@ of link text; two ratios follow: text per node, and punctuation per node, both
 damped by links. The ratios are smoothed over the paths below the same parent,
 fused by their product, and paths at or above a share of the best fused ratio are
 content. Text in navigation, headers and footers of the page, asides, forms,
-scripts, styles and elements whose class, id or role names an advert, menu,
-sidebar, notice or reader comment is no candidate; where a page marks an article
+scripts, styles, adverts and reader comments is no candidate, nor is that of elements with a
+whole class token or id that names a menu, sidebar or notice, unless their punctuated
+text is much of the page's unlinked text; where a page marks an article
 or main part, only text inside it is.
 
 Blocks are the runs of text between block-level tags. Content blocks keep page
@@ -41,16 +42,25 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong "
     "sub sup time tt u var wbr br img".split()
 )
+UNHINTED = frozenset("html body article main p h1 h2 h3 h4 h5 h6".split())
 NEVER = frozenset(
     "nav aside form script style template noscript head iframe object svg math canvas audio video select button input textarea "
     "dialog menu fieldset option datalist".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog alertdialog menu menubar status".split())
 HINTS = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|menu|nav|navbar|navigation|breadcrumbs?|sidebar|side|"
-    r"footer|header|masthead|cookies?|consent|notices?|popup|modal|newsletter|subscribe|social|share|sharing|related|recommend\w*|"
-    r"comments?|comment\w*|disqus|respond|replies|reply|widget|toolbar|pagination|pager|copyright|legal|hidden)(?:$|[^a-z])"
+    r"banner|menu|nav|navbar|navigation|breadcrumbs?|sidebar|side|footer|header|masthead|notices?|modal|social|share|sharing|related|"
+    r"recommend\w*|widget|toolbar|pagination|pager|copyright|legal|hidden"
 )
+#: Adverts, consent and reader comments: their share of the text says nothing, comments are as long as articles.
+FOREIGN = re.compile(
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|popup|newsletter|subscribe|comment\w*|disqus|respond|replies|reply"
+)
+#: Parts of a class name that leave a hint a hint, and parts that turn it.
+NEUTRAL = frozenset("site page global left right top bottom list box bar area block container wrapper wrap links posts thread inner".split())
+TURNS = frozenset("no not non with without has is".split())
+#: Least share of an element's punctuated text in the page's unlinked text that makes a hinted element content, without and with an article inside.
+SHARES = (0.5, 0.25)
 SAME_ENDS = {
     "p": frozenset("p".split()), "li": frozenset("li".split()), "dt": frozenset("dt dd".split()), "dd": frozenset("dt dd".split()),
     "tr": frozenset("tr td th".split()), "td": frozenset("td th".split()), "th": frozenset("td th".split()), "option": frozenset("option".split()),
@@ -64,16 +74,39 @@ _MARK = re.compile(r"[.,;:!?。，、！？；：…]")
 _SPACE = re.compile(r"\s+")
 
 
+def _hint(names: str) -> str:
+    """'foreign' or 'hint' where a whole class token or id is one, else ''."""
+    found = ""
+    for token in names.split():
+        parts = [x for x in re.split("[^a-z]+", token) if x]
+        named = [x for x in parts if x not in NEUTRAL]
+        if not named or not TURNS.isdisjoint(parts):
+            continue
+        if all(HINTS.fullmatch(x) or FOREIGN.fullmatch(x) for x in named):
+            if any(map(FOREIGN.fullmatch, named)):
+                return "foreign"
+            found = "hint"
+    return found
+
+
+def _solid(texts) -> tuple[list[int], list[int]]:
+    """Unlinked letters of each text, and the same where its block has a mark outside links."""
+    marked = {block for block, _, link, _, data, _ in texts if not link and _MARK.search(data)}
+    plain = [0 if link else len(data) - sum(map(len, _SPACE.findall(data))) for _, _, link, _, data, _ in texts]
+    return plain, [n if t[0] in marked else 0 for t, n in zip(texts, plain)]
+
+
 class _Page(HTMLParser):
-    """Collects (block number, path, inside a link, marked part, text) of every candidate text."""
+    """Collects (block number, path, inside a link, marked part, text, hinted elements) of every candidate text."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, bool, bool, bool]] = []  # tag, name, out, article, link
+        self.stack: list[tuple] = []  # tag, name, out, article, link, hinted elements (None or (number, outer ones))
         self.block, self.texts = 0, []
+        self.hinted: list[bool] = []  # whether an article or main part is inside
 
     def _top(self):
-        return self.stack[-1] if self.stack else ("", "", False, False, False)
+        return self.stack[-1] if self.stack else ("", "", False, False, False, None)
 
     def _close_to(self, i: int) -> None:
         for tag, *_ in self.stack[i:]:
@@ -93,16 +126,24 @@ class _Page(HTMLParser):
                 self.handle_data(" ")
             return
         own = {k: (v or "").lower() for k, v in attrs if k in ("class", "id", "role", "hidden", "itemprop")}
-        _, _, out, article, link = self._top()
+        _, _, out, article, link, hints = self._top()
         names = f"{own.get('class', '')} {own.get('id', '')}"
         if tag in NEVER or own.get("role", "") in ROLES or "hidden" in own:
             out = True
-        elif tag in ("header", "footer") or (tag not in ("html", "body", "article", "main", "h1", "p") and HINTS.search(names)):
+        elif tag in ("header", "footer"):
             out = True
+        elif tag not in UNHINTED and (hint := _hint(names)):
+            if hint == "foreign":
+                out = True
+            else:
+                hints = (len(self.hinted), hints)
+                self.hinted.append(False)
         if tag in ("article", "main") or own.get("role") == "main" or own.get("itemprop") == "articlebody":
-            article = True
+            article, outer = True, hints
+            while outer and not self.hinted[outer[0]]:
+                self.hinted[outer[0]], outer = True, outer[1]
         first = own.get("class", "").split()
-        self.stack.append((tag, f"{tag}.{first[0]}" if first else tag, out, article, link or tag == "a"))
+        self.stack.append((tag, f"{tag}.{first[0]}" if first else tag, out, article, link or tag == "a", hints))
 
     def _end_open(self, tags: frozenset) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
@@ -126,17 +167,39 @@ class _Page(HTMLParser):
                 return  # a stray end of an inline tag closes no block
 
     def handle_data(self, data):
-        _, _, out, article, link = self._top()
+        _, _, out, article, link, hints = self._top()
         if not out and data:
             # Inline tags are part of the block, not of the path.
             path = tuple(name for tag, name, *_ in self.stack if tag not in INLINE)
-            self.texts.append((self.block, path, link, article, data))
+            self.texts.append((self.block, path, link, article, data, hints))
+
+    def candidates(self) -> list[tuple]:
+        """The texts outside hinted elements, and those of hinted elements with much of the page's text."""
+        if not self.hinted:
+            return self.texts
+        (plain, solid), held = _solid(self.texts), [0] * len(self.hinted)
+        for (*_, hints), n in zip(self.texts, solid):
+            if hints:
+                held[hints[0]] += n
+        outer = {}
+        for *_, hints in self.texts:
+            while hints and hints[0] not in outer:
+                outer[hints[0]] = hints[1][0] if hints[1] else None
+                hints = hints[1]
+        total, own = sum(plain), [False] * len(self.hinted)
+        for i in sorted(outer, reverse=True):  # an inner element has the higher number
+            if outer[i] is not None:
+                held[outer[i]] += held[i]
+        for i in sorted(outer):
+            enough = held[i] > 0 and held[i] >= SHARES[self.hinted[i]] * total
+            own[i] = enough and (outer[i] is None or own[outer[i]])
+        return [x for x in self.texts if not x[5] or own[x[5][0]]]
 
 
 def _path_scores(texts) -> dict[tuple, float]:
     """Fused, smoothed ratio of every tag path."""
     length, marks, linked, nodes = {}, {}, {}, {}
-    for block, path, link, _, data in texts:
+    for block, path, link, _, data, _ in texts:
         n = len(data) - sum(map(len, _SPACE.findall(data)))
         length[path] = length.get(path, 0) + n
         marks[path] = marks.get(path, 0) + len(_MARK.findall(data))
@@ -166,13 +229,13 @@ def main_text(html: str | None) -> str:
     page = _Page()
     page.feed(html)
     page.close()
-    texts = page.texts
+    texts = page.candidates()
     if any(t[3] for t in texts):
         texts = [t for t in texts if t[3]]
     scores = _path_scores(texts)
     least = THRESHOLD * max(scores.values(), default=0.0)
     blocks: dict[int, list[str]] = {}
-    for block, path, _, _, data in texts:
+    for block, path, _, _, data, _ in texts:
         if scores[path] >= least and scores[path] > 0:
             blocks.setdefault(block, []).append(data)
     joined = (_SPACE.sub(" ", "".join(parts)).strip() for _, parts in sorted(blocks.items()))

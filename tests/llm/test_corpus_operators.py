@@ -83,6 +83,18 @@ def test_main_text():
     assert extract_text.main_text(None) == extract_text.main_text("") == ""
 
 
+@pytest.mark.parametrize(
+    "name", ["content with-sidebar", "layout no-sidebar", "elementor-widget-theme-post-content", "section-header", "sidebar", "legal", "side widget"]
+)
+def test_hints_keep_the_article(name):
+    body = "<h1>Head</h1><h2 class='section-header'>Part</h2>" + "<p>One, two, three. Four is more.</p>" * 4
+    want = "Head\n\nPart" + "\n\nOne, two, three. Four is more." * 4
+    other = "<div class='sidebar-left'>Ad, ad.</div><div id=comments><article><p>" + "Nice, nice. " * 90 + "</article></div>"
+    for tag in ("article", "div"):
+        page = f"<body><div class='{name}'><{tag}>{body}</{tag}></div>{other}"
+        assert extract_text.main_text(page) == want
+
+
 def test_extract_passes_columns(spark):
     pages = spark.createDataFrame([(1, None, "a"), (2, "<p>x</p>" * 2000, "b")], "page_id bigint, html string, text string")
     got = {r.page_id: r.text for r in extract_text.extract(pages).collect()}
