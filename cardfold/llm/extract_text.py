@@ -1,15 +1,16 @@
 """Main text of web pages by tag-path ratios.
 
 A page's text nodes are grouped by their root-to-leaf tag path (tags with their
-classes). Each path gets its text length, number of nodes, punctuation and share
-of link text; two ratios follow: text per node, and punctuation per node, both
-damped by links. The ratios are smoothed over the paths below the same parent,
-fused by their product, and paths at or above a share of the best fused ratio are
+classes). Each path gets its blocks' lengths, punctuation and share of link text; two
+ratios follow: logarithm of text per block, and of punctuation per block, both damped
+by links. The ratios are smoothed over the paths below the same parent and its
+parent, fused by their product, and paths at or above a share of the middle ratio are
 content. Text in navigation, headers and footers of the page, asides, forms,
 scripts, styles, adverts and reader comments is no candidate, nor is that of elements with a
 whole class token or id that names a menu, sidebar or notice, unless their punctuated
 text is much of the page's unlinked text; where a page marks an article
-or main part, only text inside it is.
+or main part, only text inside it is, and there every path with unlinked text is
+content.
 
 Blocks are the runs of text between block-level tags. Content blocks keep page
 order.
@@ -25,6 +26,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from math import log1p
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,8 +34,8 @@ from pyspark.sql import DataFrame
 from cardfold.llm.common import slices
 
 SLICE_BYTES = 8 << 20
-#: Least share of the best fused path ratio.
-THRESHOLD = 0.02
+#: Least share of the middle fused path ratio.
+THRESHOLD = 0.1
 SMOOTHING = 0.5
 
 #: Fixed lists of the markup's vocabulary.
@@ -196,30 +198,44 @@ class _Page(HTMLParser):
         return [x for x in self.texts if not x[5] or own[x[5][0]]]
 
 
-def _path_scores(texts) -> dict[tuple, float]:
-    """Fused, smoothed ratio of every tag path."""
-    length, marks, linked, nodes = {}, {}, {}, {}
+def _path_scores(texts) -> tuple[dict[tuple, float], dict[tuple, float]]:
+    """Fused, smoothed ratio and unlinked share of every tag path."""
+    length, linked, blocks = {}, {}, {}
     for block, path, link, _, data, _ in texts:
         n = len(data) - sum(map(len, _SPACE.findall(data)))
         length[path] = length.get(path, 0) + n
-        marks[path] = marks.get(path, 0) + len(_MARK.findall(data))
         linked[path] = linked.get(path, 0) + n * link
-        nodes.setdefault(path, set()).add(block)
-    own = {}
-    for path, n in length.items():
-        plain = 1 - linked[path] / n if n else 0.0
-        own[path] = (plain * n / len(nodes[path]), plain * (1 + marks[path]) / len(nodes[path]))
+        own = blocks.setdefault(path, {}).setdefault(block, [0, 0])
+        own[0] += n
+        own[1] += len(_MARK.findall(data))
+    plain = {p: 1 - linked[p] / n if n else 0.0 for p, n in length.items()}
+    # Logarithms, so that one very long block does not set the scale.
+    ratio = {p: (plain[p] * sum(log1p(n) for n, _ in b.values()), plain[p] * sum(1 + log1p(m) for _, m in b.values())) for p, b in blocks.items()}
     below: dict[tuple, list] = {}
-    for path in own:
-        below.setdefault(path[:-1], []).append(path)
+    for path, sums in ratio.items():
+        for up in {path[:-1], path[:-2]}:
+            own = below.setdefault(up, [0.0, 0.0, 0])
+            own[0], own[1], own[2] = own[0] + sums[0], own[1] + sums[1], own[2] + len(blocks[path])
     fused = {}
-    for paths in below.values():
-        count = sum(len(nodes[p]) for p in paths)
-        mean = [sum(own[p][k] * len(nodes[p]) for p in paths) / count for k in (0, 1)]
-        for p in paths:
-            text, mark = ((1 - SMOOTHING) * own[p][k] + SMOOTHING * mean[k] for k in (0, 1))
-            fused[p] = text * mark
-    return fused
+    for path, sums in ratio.items():
+        near, far = below[path[:-1]], below[path[:-2]]
+        text, mark = (
+            (1 - SMOOTHING) * sums[k] / len(blocks[path]) + SMOOTHING / 2 * (near[k] / near[2] + plain[path] * far[k] / far[2]) for k in (0, 1)
+        )
+        fused[path] = text * mark if length[path] else 0.0
+    return fused, plain
+
+
+def _middle(scores: dict[tuple, float], texts) -> float:
+    """The score that half of the text, by the logarithms of the texts' lengths, is at or above."""
+    ranked = sorted(((scores[path], log1p(len(data.strip()))) for _, path, _, _, data, _ in texts), reverse=True)
+    ranked = [(s, w) for s, w in ranked if s > 0]
+    left = sum(w for _, w in ranked) / 2
+    for score, weight in ranked:
+        left -= weight
+        if left <= 0:
+            return score
+    return 0.0
 
 
 def main_text(html: str | None) -> str:
@@ -230,13 +246,14 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     texts = page.candidates()
-    if any(t[3] for t in texts):
+    marked = any(t[3] for t in texts)
+    if marked:
         texts = [t for t in texts if t[3]]
-    scores = _path_scores(texts)
-    least = THRESHOLD * max(scores.values(), default=0.0)
+    scores, plain = _path_scores(texts)
+    least = THRESHOLD * _middle(scores, texts)
     blocks: dict[int, list[str]] = {}
     for block, path, _, _, data, _ in texts:
-        if scores[path] >= least and scores[path] > 0:
+        if (marked and plain[path] > 0) or (scores[path] >= least and scores[path] > 0):
             blocks.setdefault(block, []).append(data)
     joined = (_SPACE.sub(" ", "".join(parts)).strip() for _, parts in sorted(blocks.items()))
     return "\n\n".join(b for b in joined if b)

@@ -95,6 +95,16 @@ def test_hints_keep_the_article(name):
         assert extract_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_lists_tables_and_long_blocks_stay(tag):
+    item, para, huge = "<li>milk eggs</li>", "<p>" + "Some words, and more of them here. " * 12 + "</p>", "Long words, and long. " * 1000
+    parts = f"{para * 6}<ul>{item * 8}</ul><table><tr><td>cell one<td>cell two</table><pre>x = y</pre><section><section><h3>Deep</h3>{para}</section></section>"
+    page = f"<body><nav><a href=x>Home</a></nav><{tag}>{parts}<blockquote><p>{huge}</p></blockquote></{tag}><div class=m><ul><li><a href=a>link</a></ul></div>"
+    got = extract_text.main_text(page)
+    assert got.count("Some words") == 84 and got.count("Long words") == 1000 and got.count("milk eggs") == 8
+    assert all(x in got for x in ("cell one", "cell two", "x = y", "Deep")) and "Home" not in got and "link" not in got
+
+
 def test_extract_passes_columns(spark):
     pages = spark.createDataFrame([(1, None, "a"), (2, "<p>x</p>" * 2000, "b")], "page_id bigint, html string, text string")
     got = {r.page_id: r.text for r in extract_text.extract(pages).collect()}
