@@ -8,8 +8,8 @@ parent, fused by their product, and paths at or above a share of the middle rati
 content. Text in navigation, headers and footers of the page, asides, forms,
 scripts, styles, adverts and reader comments is no candidate, nor is that of elements with a
 whole class token or id that names a menu, sidebar or notice, unless their punctuated
-text is much of the page's unlinked text; where a page marks an article
-or main part, only text inside it is, and there every path with unlinked text is
+text is much of the page's unlinked text; where an article
+or main part holds no less unlinked text than there is punctuated outside, only text inside it is, and there every path with unlinked text is
 content.
 
 Blocks are the runs of text between block-level tags. Content blocks keep page
@@ -246,7 +246,10 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     texts = page.candidates()
-    marked = any(t[3] for t in texts)
+    letters, solid = _solid(texts)
+    # Cards of other articles beside an unmarked body are not the main part.
+    inside = sum(n for t, n in zip(texts, letters) if t[3])
+    marked = any(t[3] for t in texts) and inside >= sum(n for t, n in zip(texts, solid) if not t[3])
     if marked:
         texts = [t for t in texts if t[3]]
     scores, plain = _path_scores(texts)

@@ -105,6 +105,12 @@ def test_lists_tables_and_long_blocks_stay(tag):
     assert all(x in got for x in ("cell one", "cell two", "x = y", "Deep")) and "Home" not in got and "link" not in got
 
 
+def test_teaser_articles_do_not_hide_the_body():
+    body = "<p>The body of the page, which is long. It goes on.</p>" * 5
+    page = f"<body><div class=story>{body}</div><div class=grid><article><p>A card, short.</article><article><p>Next card.</article></div>"
+    assert extract_text.main_text(page).count("The body of the page") == 5
+
+
 def test_extract_passes_columns(spark):
     pages = spark.createDataFrame([(1, None, "a"), (2, "<p>x</p>" * 2000, "b")], "page_id bigint, html string, text string")
     got = {r.page_id: r.text for r in extract_text.extract(pages).collect()}
