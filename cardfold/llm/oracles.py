@@ -91,3 +91,30 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_r
   sha256(array_to_string(list_filter(ws, lambda x, i: ps IS NULL OR NOT list_contains(ps, i)), ' ')) AS kept_sha256
 FROM w LEFT JOIN out USING (doc_id)
 """
+
+#: Integer vectors, anchors against all rows, five positives, five negatives of each.
+ORACLES["op13_hard_negatives"] = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END::BIGINT AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), a AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS alabel, r.vec_id AS rid, r.label AS rlabel,
+         list_dot_product(a.q, r.q)::BIGINT AS s
+  FROM a JOIN v r ON true
+), pos AS (
+  SELECT anchor_id, rid AS positive_id, s AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, rid) AS k
+    FROM scored WHERE rlabel = alabel AND rid <> anchor_id) WHERE k <= 5
+), neg AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, c.rid AS negative_id, c.s AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY c.s DESC, c.rid) AS k
+  FROM pos p JOIN scored c ON c.anchor_id = p.anchor_id AND c.rlabel <> c.alabel
+   AND 80 * p.positive_score <= 100 * c.s AND 100 * c.s <= 100 * p.positive_score
+)
+SELECT anchor_id, positive_id, k::INTEGER AS rank, negative_id, positive_score, negative_score FROM neg WHERE k <= 5
+"""

@@ -10,9 +10,12 @@ from cardfold.llm import (
     decontaminate,
     extract_text,
     fingerprint,
+    hardneg,
     kdshard,
+    manifest,
     neardup,
     packing,
+    quality,
     sanitise,
     substring,
     toxicity,
@@ -141,6 +144,37 @@ def op10_toxicity(spark, sf_dir):
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    m = manifest.manifest(table(spark, sf_dir, "documents"))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.regexp_replace("text", "\n", "")).otherwise(F.col("text"))
+    changed = manifest.leaf_of(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+    folded = manifest.fold(changed, F.col("lefts"), F.col("rights"))
+    return m.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof(F.col("lefts"), F.col("rights")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == F.col("root")).alias("verified"),
+    )
+
+
+def op12_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    examples = quality.examples_of(docs, table(spark, sf_dir, "labels"), "quality", ~held_out)
+    scored = quality.score(docs, quality.fit(examples))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+def op13_hard_negatives(spark, sf_dir):
+    return hardneg.mine(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
