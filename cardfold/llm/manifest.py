@@ -29,6 +29,10 @@ Defined results. Null fields are ``-``; an empty table gives no rows; a source
 with one row has that leaf as subroot; one source makes its subroot the root;
 repeated rows are separate leaves (equal digests, adjacent). Columns other than
 the five fields are not read, so extra columns never clash.
+
+Scale. Only (source, doc_id, digests) are shuffled: one range exchange for the
+order within sources, then one grouping by (source, block) per 3**depth-fold
+level and one join per level on the way down.
 """
 
 from __future__ import annotations
@@ -208,13 +212,19 @@ def _empty_witness() -> list[Column]:
     return [F.lit(0).cast("long").alias("pos"), none.alias("lefts"), none.alias("rights")]
 
 
-def manifest(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Per row of ``docs``: its five fields, leaf, subroot, root, lefts, rights.
+def manifest(docs: DataFrame, depth: int = DEPTH, carry: dict[str, Column] | None = None) -> DataFrame:
+    """Per row of ``docs``: doc_id, source, leaf, subroot, root, lefts, rights and
+    the ``carry`` columns, computed in the first scan (for digests of other texts).
 
     ``lefts``/``rights`` hold the witness, one entry a level from the leaf up to the
     root (subtree levels, then top-tree levels); ``proof`` and ``fold`` read it.
+    Texts are read once, for the leaf: no later step moves them.
     """
-    rows = docs.select(*FIELDS).withColumn("leaf", leaf_of(*(F.col(c) for c in FIELDS)))
+    carry = carry or {}
+    rows = docs.select(
+        "doc_id", "source", leaf_of(*(F.col(c) for c in FIELDS)).alias("leaf"),
+        *(c.alias(name) for name, c in carry.items()),
+    )
     rows = rows.withColumns({"key": F.coalesce(F.col("source"), F.lit("")), "key_null": F.col("source").isNull()})
     rows = _ranked(rows, "source", [F.col("doc_id").asc_nulls_first(), F.col("leaf")])
     leaves = rows.select("key", "key_null", "pos", F.col("leaf").alias("digest"))
@@ -234,7 +244,9 @@ def manifest(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     )
     wit = _down(levels, per_source, ["subroot", "root"])
     on = [rows["key"] == wit["key"], rows["key_null"] == wit["key_null"], rows["pos"] == wit["pos"]]
-    return rows.join(wit, on).select(*(rows[c] for c in FIELDS), "leaf", "subroot", "root", "lefts", "rights")
+    return rows.join(wit, on).select(
+        rows["doc_id"], rows["source"], "leaf", "subroot", "root", "lefts", "rights", *(rows[c] for c in carry)
+    )
 
 
 def proof(lefts: Column, rights: Column) -> Column:

@@ -210,7 +210,7 @@ def sgd(model: Model, examples: list[tuple[np.ndarray, np.ndarray, int]], rates:
 
 
 def examples_of(docs: DataFrame, labels: DataFrame, label: str, train: Column, examples: int = EXAMPLES) -> DataFrame:
-    """Hashed features of at most ``examples`` labelled training rows, stored.
+    """Hashed features of at most ``examples`` labelled training rows (``fit`` stores them).
 
     The sample is the ``examples`` label rows of smallest id hash, so its size is
     proven before it is broadcast; duplicate (id, text) rows count once.
@@ -229,24 +229,22 @@ def examples_of(docs: DataFrame, labels: DataFrame, label: str, train: Column, e
                 {
                     "doc_id": batch.column("doc_id"),
                     "label": batch.column("_q_label"),
-                    "rows": pa.array([r for r, _ in got], pa.list_(pa.int64())),
+                    "rows": pa.array([r.astype(np.int32) for r, _ in got], pa.list_(pa.int32())),
                     "weights": pa.array([w for _, w in got], pa.list_(pa.float32())),
                 }
             )
 
-    schema = "doc_id long, label int, rows array<long>, weights array<float>"
-    return store(rows.mapInArrow(run, schema), "quality-examples")
+    schema = "doc_id long, label int, rows array<int>, weights array<float>"
+    return rows.mapInArrow(run, schema)
 
 
 def fit(examples: DataFrame, epochs: int = EPOCHS, rate: float = LEARNING_RATE, workers: int = WORKERS, seed: int = 0) -> Model:
     """SGD by parameter averaging: each task trains on its share, the driver averages."""
     spark = examples.sparkSession
     model = Model.start(seed=seed)
-    n = examples.count()
-    if not n:
+    shares = store(examples.repartition(workers, F.xxhash64("doc_id")), "quality-shares")
+    if shares.isEmpty():
         return model
-    shares = examples.repartition(max(1, min(workers, -(-n // 2000))), F.xxhash64("doc_id"))
-    shares = store(shares, "quality-shares")
     for epoch in range(epochs):
         held = spark.sparkContext.broadcast((model.table, model.out, model.bias))
         first, last = rate * (1 - epoch / epochs), rate * (1 - (epoch + 1) / epochs)
@@ -258,7 +256,7 @@ def fit(examples: DataFrame, epochs: int = EPOCHS, rate: float = LEARNING_RATE,
             for batch in batches:
                 rows, weights = batch.column("rows"), batch.column("weights")
                 at = rows.offsets.to_numpy()
-                flat_rows = rows.values.to_numpy(zero_copy_only=False)
+                flat_rows = rows.values.to_numpy(zero_copy_only=False).astype(np.int64)
                 flat_weights = weights.values.to_numpy(zero_copy_only=False)
                 for i, label in enumerate(batch.column("label").to_pylist()):
                     items.append((flat_rows[at[i] : at[i + 1]], flat_weights[at[i] : at[i + 1]], int(label)))

@@ -145,11 +145,11 @@ def op10_toxicity(spark, sf_dir):
 
 
 def op11_merkle_manifest(spark, sf_dir):
-    m = manifest.manifest(table(spark, sf_dir, "documents"))
     tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
     text = F.when(tampered, F.regexp_replace("text", "\n", "")).otherwise(F.col("text"))
     changed = manifest.leaf_of(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
-    folded = manifest.fold(changed, F.col("lefts"), F.col("rights"))
+    m = manifest.manifest(table(spark, sf_dir, "documents"), carry={"changed": changed})
+    folded = manifest.fold(F.col("changed"), F.col("lefts"), F.col("rights"))
     return m.select(
         "doc_id",
         "leaf",

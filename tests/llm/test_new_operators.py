@@ -93,7 +93,7 @@ def test_manifest_equals_plain_model(spark, depth):
     df = spark.createDataFrame(ROWS, "doc_id bigint, source string, lang string, n_chars bigint, text string")
     df = df.withColumns({"leaf": F.lit(1), "pos": F.lit("x"), "key": F.lit(2)})  # clashing names
     got = manifest.manifest(df, depth=depth).select(
-        *manifest.FIELDS, "leaf", "subroot", "root", manifest.proof(F.col("lefts"), F.col("rights")).alias("p"),
+        "doc_id", "source", "leaf", "subroot", "root", manifest.proof(F.col("lefts"), F.col("rights")).alias("p"),
         manifest.fold(F.col("leaf"), F.col("lefts"), F.col("rights")).alias("f"),
     ).toPandas()
     rows = [dict(zip(manifest.FIELDS, r)) for r in ROWS]
