@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardfold import schema
 from cardfold.functions.urls import INVALID_URL_MESSAGE, is_public_url, normalize_input_url
+from cardfold.operators.crawl import reached_facts
 from cardfold.operators.dedupe import deduplicate
 from cardfold.operators.enrich import detail_failures, detail_metrics, enrich, enriched_records
 from cardfold.operators.extract import categories_from_facts, listing_rows, page_facts
@@ -197,7 +198,10 @@ def scrape_selected_categories(
     """Discover categories, resolve the requested ones, page through them and
     look up every listing's detail page.
 
-    ``facts`` may pass a stored ``build_facts`` table, which saves the parse.
+    Without ``facts`` the crawl is pruned: the directory page is parsed for its
+    categories, then only the category pages that the walks reach (round by
+    round, see ``operators.crawl``) and the detail pages their listings link to.
+    ``facts`` may pass a stored ``build_facts`` table of the whole snapshot instead.
     """
     if limit_per_category < 1:
         raise ValueError("limit_per_category must be greater than 0")
@@ -212,26 +216,43 @@ def scrape_selected_categories(
     else:
         text = requested if isinstance(requested, str) else ",".join(requested)
         requests = parse_requests(spark, text)
-    if facts is None:
-        facts = materialize(build_facts(snapshot, selectors), "facts")
-    pages = materialize(
-        resolve_attempts(facts.drop("detail_text"), FETCH_ATTEMPTS), "pages"
-    )
-    details = resolve_attempts(
-        facts.select(*_META, "detail_text"), DETAIL_ATTEMPTS
-    )
-    directory = pages.where((F.col("url") == directory_url) & F.col("error_type").isNull())
-    categories = materialize(categories_from_facts(directory), "categories")
+    if facts is not None:
+        pages = materialize(resolve_attempts(facts.drop("detail_text"), FETCH_ATTEMPTS), "pages")
+        directory = pages.where(F.col("url") == directory_url)
+    else:
+        directory = materialize(
+            resolve_attempts(
+                build_facts(snapshot.where(F.col("url") == directory_url), selectors, parts=("categories",)),
+                FETCH_ATTEMPTS,
+            ),
+            "directory",
+        )
+    categories = materialize(categories_from_facts(directory.where(F.col("error_type").isNull())), "categories")
     accepted, unresolved = resolve_requests(
         requests, categories, directory_url, site_name, now=now
     )
-    walked = paginate(
-        materialize(accepted, "seeds"), pages, limit_per_category, max_pages_per_category
-    )
-    listings = walked.listings.drop("seq", "step", "card")
+    seeds = materialize(accepted, "seeds")
+    if facts is None:
+        pages = reached_facts(
+            snapshot,
+            seeds,
+            limit_per_category,
+            max_pages_per_category,
+            lambda rows: build_facts(rows, selectors, parts=("cards", "next")),
+            FETCH_ATTEMPTS,
+        )
+    walked = paginate(seeds, pages, limit_per_category, max_pages_per_category)
+    listings = materialize(walked.listings.drop("seq", "step", "card"), "listings")
+    if facts is not None:
+        details = resolve_attempts(facts.select(*_META, "detail_text"), DETAIL_ATTEMPTS)
+    else:
+        linked = snapshot.join(
+            listings.select(F.col("listing_url").alias("url")).distinct(), "url", "left_semi"
+        )
+        details = resolve_attempts(build_facts(linked, parts=("detail",)), DETAIL_ATTEMPTS)
     outcomes = materialize(enrich(listings, details), "outcomes")
     failures = union_failures(
-        _page_failure(pages, directory_url, now),
+        _page_failure(directory, directory_url, now),
         unresolved,
         walked.failures,
         detail_failures(outcomes),

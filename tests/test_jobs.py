@@ -398,3 +398,37 @@ def test_pipeline_writes_every_output(spark, tmp_path):
     assert spark.read.parquet(f"{review}/master").count() == 2
     assert spark.read.parquet(f"{review}/summary").count() == 7 + 1 + 2
     assert text_of(result.output_files[0]).count("\n") >= 3
+
+
+def test_pruned_crawl_parses_only_reached_pages(spark):
+    first, second, third = (f"{ROOT}/business-category/e/page/{i}/" for i in (1, 2, 3))
+    lonely = f"{ROOT}/business-category/lonely/"
+    pages = snapshot(
+        spark,
+        ok(f"{ROOT}/directory/", '<a href="/business-category/e/page/1/">Electricians</a>'
+           '<a href="/business-category/lonely/">Lonely</a>'),
+        ok(first, category_page([1, 2], second)), ok(second, category_page([3, 4], third)),
+        ok(third, category_page([5], first)),  # a cycle back to the first page
+        ok(lonely, category_page([9])), ok(f"{ROOT}/unlinked/", category_page([7])),
+        ok(f"{ROOT}/directory/b1/", DETAIL.format("Full 1")),
+    )
+    from cardfold.operators.crawl import reached_facts
+
+    def parse(rows):
+        return jobs.build_facts(rows, parts=("cards", "next"))
+
+    # Every row given to the parser comes back as one resolved fact row, so the
+    # URLs returned are exactly the URLs parsed.
+    seeds = spark.createDataFrame([(0, first)], "seq long, url string")
+    got = reached_facts(pages, seeds, 3, 2, parse, 3)
+    assert sorted(r.url for r in got.select("url").collect()) == [first, second]
+    got = reached_facts(pages, seeds, 100, 0, parse, 3)  # the cycle ends the walk
+    assert sorted(r.url for r in got.select("url").collect()) == [first, second, third]
+    for limit, max_pages in ((3, 2), (10, 0), (1, 0)):
+        pruned = jobs.scrape_selected_categories(pages, f"{ROOT}/directory/", "e", limit, max_pages, now=NOW)
+        facts = jobs.build_facts(pages)
+        whole = jobs.scrape_selected_categories(pages, f"{ROOT}/directory/", "e", limit, max_pages, now=NOW, facts=facts)
+        key = ["ord", "business_name", "source_url", "description"]
+        assert pruned.records.select(*key).orderBy("ord").collect() == whole.records.select(*key).orderBy("ord").collect()
+        assert pruned.category_metrics.first() == whole.category_metrics.first()
+        assert sorted(map(tuple, pruned.failures.drop("failed_at").collect())) == sorted(map(tuple, whole.failures.drop("failed_at").collect()))
