@@ -9,8 +9,9 @@ moves every category one page on: a category stops when its page failed, has no
 next link, the link was already visited by that category, its named cards reach
 the record limit, or ``max_pages`` pages are read (``0``: no page limit).
 
-Named cards fall no faster than the walk's own budget, so the pages gathered are
-a superset of what ``paginate`` visits: it gets them as its ``facts`` and gives
+The budget falls as in the walk itself (a page is cut to the cards that remain,
+and only named cards among them count), so the pages gathered are those that
+``paginate`` visits: it gets them as its ``facts`` and gives
 the same result as over a parse of the whole snapshot, while unlinked pages
 never reach Python. Rounds store their tables, so a lost executor repeats one
 round; the visited table grows by one row per category and page.
@@ -56,9 +57,12 @@ def reached_facts(
         seen = reduce(DataFrame.unionByName, [p.select("url", "error_type", "next_url", "named") for p in parsed])
         page = seen.select(
             "url", F.col("error_type").isNull().alias("ok"), "next_url",
-            F.coalesce(F.size("named"), F.lit(0)).cast("long").alias("n_named"),
+            F.coalesce("named", F.array().cast("array<int>")).alias("positions"),
         )
-        step = frontier.join(page, "url")
+        # A page is cut to the cards that remain; only named cards among them count.
+        remaining = F.lit(limit) - F.col("named")
+        taken = F.size(F.filter("positions", lambda p: p <= remaining)).cast("long")
+        step = frontier.join(page, "url").withColumn("n_named", taken)
         go_on = F.col("ok") & F.col("next_url").isNotNull() & (F.col("named") + F.col("n_named") < limit)
         if max_pages > 0:
             go_on = go_on & (F.col("step") + 1 < max_pages)
