@@ -99,6 +99,18 @@ def reject_reason(*extra: Column) -> Column:
     )
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """``df`` with every column computed once, below a barrier.
+
+    A filter above a projection is pushed below it with the projection's
+    expressions put in its place, so a check of cleaned fields would run the
+    cleaning again inside the filter. Rows that come out of a generator keep
+    filters above it: the one-element ``inline`` hands the computed values on.
+    """
+    fields = F.struct(*[F.col(f"`{name}`") for name in df.columns])
+    return df.select(F.inline(F.array(fields)))
+
+
 def validate(records: DataFrame, on_invalid: str = "raise") -> DataFrame:
     """Enforce the listing contract.
 
@@ -106,6 +118,7 @@ def validate(records: DataFrame, on_invalid: str = "raise") -> DataFrame:
     and adds ``reject_reason`` (null for good rows).
     """
     check_listing_types(records)
+    records = computed_once(records)
     earlier = [F.col("reject_reason")] if "reject_reason" in records.columns else []
     reason = reject_reason(*earlier)
     if on_invalid == "quarantine":

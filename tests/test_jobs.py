@@ -432,3 +432,15 @@ def test_pruned_crawl_parses_only_reached_pages(spark):
         assert pruned.records.select(*key).orderBy("ord").collect() == whole.records.select(*key).orderBy("ord").collect()
         assert pruned.category_metrics.first() == whole.category_metrics.first()
         assert sorted(map(tuple, pruned.failures.drop("failed_at").collect())) == sorted(map(tuple, whole.failures.drop("failed_at").collect()))
+
+
+def test_validation_filter_reads_cleaned_values_once(spark):
+    rows = table(spark, listing(1, "  A  b "), listing(2, "C"))
+    checked = rec.clean_records(rows)
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.split("\n") if "Filter" in line]
+    assert filters and not any("regexp_replace" in line for line in filters)
+    bad = table(spark, listing(1, None), listing(2, "C"))
+    with pytest.raises(Exception, match="business_name is required"):
+        rec.clean_records(bad).count()
+    assert rec.clean_records(bad, "quarantine").where(F.col("reject_reason").isNotNull()).count() == 1
