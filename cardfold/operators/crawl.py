@@ -32,14 +32,18 @@ def reached_facts(
     seeds: DataFrame,
     limit: int,
     max_pages: int,
-    parse,
-    attempts: int,
+    parse=None,
+    attempts: int | None = None,
 ) -> DataFrame:
     """Resolved facts (one row per URL) of every page a category walk can reach.
 
     ``parse(rows)`` turns snapshot rows into fact rows (``url``, ``next_url``,
     ``named`` and the error columns); it only ever sees rows of reached URLs.
+    Without ``parse`` the snapshot already holds fact rows, and without
+    ``attempts`` they are already one row per URL.
     """
+    parse = parse or (lambda rows: rows)
+    resolve = (lambda rows: resolve_attempts(rows, attempts)) if attempts else (lambda rows: rows)
     frontier = materialize(
         seeds.select("seq", "url", F.lit(0).alias("step"), F.lit(0).cast("long").alias("named")), "frontier"
     )
@@ -51,7 +55,7 @@ def reached_facts(
         if known is not None:
             wanted = wanted.join(known, "url", "left_anti")
         rows = snapshot.join(wanted, "url", "left_semi")
-        facts = materialize(resolve_attempts(parse(rows), attempts), "reached")
+        facts = materialize(resolve(parse(rows)), "reached")
         parsed.append(facts)
         known = facts.select("url") if known is None else known.unionByName(facts.select("url"))
         seen = reduce(DataFrame.unionByName, [p.select("url", "error_type", "next_url", "named") for p in parsed])
@@ -76,5 +80,5 @@ def reached_facts(
         frontier = supersede(frontier, moved, "frontier")
         visited = supersede(visited, visited.unionByName(frontier.select("seq", "url")), "visited")
     if not parsed:
-        return resolve_attempts(parse(snapshot.limit(0)), attempts)
+        return resolve(parse(snapshot.limit(0)))
     return reduce(DataFrame.unionByName, parsed)

@@ -248,12 +248,20 @@ def paginate(
 
     ``facts`` is a stored table with one row per URL: ``url, next_url, n_cards,
     named, cards`` and the error columns of the snapshot. ``max_pages=0`` means
-    no page limit.
+    no page limit. With a page limit, a frontier first narrows ``facts`` to the
+    pages the walks reach (at most ``max_pages`` a category), so the hop table
+    never holds the rest of the snapshot.
     """
     if limit_per_category < 1:
         raise ValueError("limit_per_category must be greater than 0")
     if max_pages < 0:
         raise ValueError("max_pages cannot be negative")
+    if max_pages > 0:
+        # Bounded walks: only the pages the walks reach, found depth by depth with
+        # a running budget, enter the hop table.
+        from cardfold.operators.crawl import reached_facts
+
+        facts = reached_facts(facts, seeds, limit_per_category, max_pages)
     pages = facts.select(
         "url",
         F.col("error_type").isNull().alias("ok"),
