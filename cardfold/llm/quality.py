@@ -36,12 +36,12 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cardfold.llm.common import free_name, ranges, slices, store
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 17
 DIM = 16
 EPOCHS = 8
 LEARNING_RATE = 0.5
 #: The bound on labelled rows a fit reads, and the tasks that share them.
-EXAMPLES = 20_000
+EXAMPLES = 5_000
 WORKERS = 8
 SLICE_BYTES = 2 << 20
 NGRAMS = (3, 4, 5)
@@ -223,9 +223,13 @@ def examples_of(docs: DataFrame, labels: DataFrame, label: str, train: Column, e
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = sparse_features(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_pydict(
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE_BYTES):
+                yield features_of(batch)
+
+    def features_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        got = sparse_features(batch.column("text").to_pylist())
+        return pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
                     "label": batch.column("_q_label"),
@@ -242,9 +246,12 @@ def fit(examples: DataFrame, epochs: int = EPOCHS, rate: float = LEARNING_RATE,
     """SGD by parameter averaging: each task trains on its share, the driver averages."""
     spark = examples.sparkSession
     model = Model.start(seed=seed)
-    shares = store(examples.repartition(workers, F.xxhash64("doc_id")), "quality-shares")
-    if shares.isEmpty():
+    examples = store(examples, "quality-examples")
+    n = examples.count()
+    if not n:
         return model
+    # Each share holds 2,000 examples at least: averaging thin shares learns little.
+    shares = store(examples.repartition(max(1, min(workers, n // 2000)), F.xxhash64("doc_id")), "quality-shares")
     for epoch in range(epochs):
         held = spark.sparkContext.broadcast((model.table, model.out, model.bias))
         first, last = rate * (1 - epoch / epochs), rate * (1 - (epoch + 1) / epochs)
@@ -285,7 +292,7 @@ def fit(examples: DataFrame, epochs: int = EPOCHS, rate: float = LEARNING_RATE,
             out_sum += r["n"] * np.frombuffer(r["out"], np.float32).reshape(model.out.shape)
             bias_sum += r["n"] * np.frombuffer(r["bias"], np.float32)
             total += r["n"]
-        held.unpersist()
+        held.destroy()
         model = Model(model.table + table_delta / total, out_sum / total, bias_sum / total)
     return model
 
