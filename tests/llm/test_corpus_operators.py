@@ -40,7 +40,7 @@ def docs(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     got = corpus.queries()[name](spark, SF_DIR)
     cursor = con.execute(ORACLES[name])
