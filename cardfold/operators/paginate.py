@@ -242,7 +242,7 @@ def _with_place(visits: DataFrame) -> DataFrame:
 
 
 def paginate(
-    seeds: DataFrame, facts: DataFrame, limit_per_category: int, max_pages: int = 1
+    seeds: DataFrame, facts: DataFrame, limit_per_category: int, max_pages: int = 1, reached: bool = False
 ) -> Pagination:
     """Visit the pages of every category in ``seeds (seq, url)``.
 
@@ -250,13 +250,14 @@ def paginate(
     named, cards`` and the error columns of the snapshot. ``max_pages=0`` means
     no page limit. With a page limit, a frontier first narrows ``facts`` to the
     pages the walks reach (at most ``max_pages`` a category), so the hop table
-    never holds the rest of the snapshot.
+    never holds the rest of the snapshot. ``reached=True`` says that ``facts``
+    already holds only reached pages (as ``operators.crawl`` gives them).
     """
     if limit_per_category < 1:
         raise ValueError("limit_per_category must be greater than 0")
     if max_pages < 0:
         raise ValueError("max_pages cannot be negative")
-    if max_pages > 0:
+    if max_pages > 0 and not reached:
         # Bounded walks: only the pages the walks reach, found depth by depth with
         # a running budget, enter the hop table.
         from cardfold.operators.crawl import reached_facts

@@ -241,7 +241,7 @@ def scrape_selected_categories(
             lambda rows: build_facts(rows, selectors, parts=("cards", "next")),
             FETCH_ATTEMPTS,
         )
-    walked = paginate(seeds, pages, limit_per_category, max_pages_per_category)
+    walked = paginate(seeds, pages, limit_per_category, max_pages_per_category, reached=facts is None)
     listings = materialize(walked.listings.drop("seq", "step", "card"), "listings")
     if facts is not None:
         details = resolve_attempts(facts.select(*_META, "detail_text"), DETAIL_ATTEMPTS)
