@@ -31,6 +31,8 @@ row block, both sizes parameters.
 Defined results. Null or non-finite vectors and null labels take no part; an
 empty table, or one without anchors, gives no rows; fewer candidates give fewer
 rows; a positive without eligible negatives gives no rows; ties are broken by id.
+Rows that share an id but differ are rows of their own: each is searched, and
+each of them that is a positive has its own negatives.
 """
 
 from __future__ import annotations
@@ -41,12 +43,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from cardfold.llm.common import store
 
 EVERY, POSITIVES, NEGATIVES, LOW = 100, 5, 5, 80
+#: Added to a cluster's widest angle: covers the rounding of both arc cosines.
+SLACK = 1e-6
 #: Sizes: anchors fitted for the centres, anchors a cluster part, anchors and rows a block.
 SAMPLE, CLUSTER_SIZE, ANCHOR_BLOCK, ROW_BLOCK = 20_000, 32, 4_096, 20_000
 STEP = 256
@@ -57,9 +61,10 @@ def prepared(vectors: DataFrame, vec: str = "embedding") -> DataFrame:
     valid = F.col(vec).isNotNull() & F.col("label").isNotNull() & F.forall(
         vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf")))
     )
-    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
     q = F.transform(vec, lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("long"))
-    rows = vectors.where(valid & F.col("vec_id").isNotNull()).select("vec_id", label.cast("long").alias("label"), q.alias("q"))
+    rows = vectors.where(valid & F.col("vec_id").isNotNull()).select("vec_id", label.alias("label"), q.alias("q"))
     return rows.dropDuplicates(["vec_id", "label", "q"])
 
 
@@ -99,7 +104,7 @@ def _bounds(rows: np.ndarray, group: np.ndarray) -> np.ndarray:
     if (norms == 0).any() or not c.any():
         theta = math.pi
     else:
-        theta = float(np.max(np.arccos(np.clip(a @ c / norms, -1, 1))))
+        theta = float(np.max(np.arccos(np.clip(a @ c / norms, -1, 1)))) + SLACK
     r = rows.astype(np.float64)
     rn = np.linalg.norm(r, axis=1)
     phi = np.arccos(np.clip(r @ c / np.maximum(rn, 1e-12), -1, 1))
@@ -115,11 +120,12 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 def _walk(rows_q, rows_id, rows_label, order, ub, q, qid, qlabel, wanted) -> list:
     """Walk the shared list for one anchor; ``wanted`` is None for positives, else
-    the (positive id, score) list whose negatives are sought."""
+    the (place, positive id, score) list whose negatives are sought."""
     if wanted is None:
         goals = [None]
     else:
-        goals = [(pid, ps) for pid, ps in wanted if ps >= 0]
+        goals = [(place, int(pid), int(ps)) for place, pid, ps in wanted if ps >= 0]
+    low = [None if goal is None else -(-LOW * goal[2] // 100) for goal in goals]  # Python's integers: no overflow
     if not goals:
         return []
     best = {g: (np.zeros(0, np.int64), np.zeros(0, np.int64)) for g in range(len(goals))}
@@ -132,8 +138,7 @@ def _walk(rows_q, rows_id, rows_label, order, ub, q, qid, qlabel, wanted) -> lis
             if goal is None:
                 ok = (labels == qlabel) & (ids != qid)
             else:
-                ps = goal[1]
-                ok = (labels != qlabel) & (LOW * ps <= 100 * s) & (s <= ps)
+                ok = (labels != qlabel) & (s >= low[g]) & (s <= goal[2])
             if ok.any():
                 bi, bs = best[g]
                 best[g] = _best(np.r_[bi, ids[ok]], np.r_[bs, s[ok]], k)
@@ -141,7 +146,7 @@ def _walk(rows_q, rows_id, rows_label, order, ub, q, qid, qlabel, wanted) -> lis
         done = True
         for g, goal in enumerate(goals):
             bi, bs = best[g]
-            floor = -math.inf if goal is None else LOW * goal[1] / 100
+            floor = -math.inf if goal is None else low[g]
             if nxt >= floor and not (len(bi) >= k and nxt < bs[-1]):
                 done = False
         if done:
@@ -154,14 +159,21 @@ def _walk(rows_q, rows_id, rows_label, order, ub, q, qid, qlabel, wanted) -> lis
     return out
 
 
+def _all_blocks(n: int) -> Column:
+    """0 to ``n`` - 1, one row each, of the type of ``pmod(xxhash64)``: both sides of
+    the cogroup hash their keys, and an int hashes otherwise than the equal long."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+
 def _search(rows: DataFrame, anchors: DataFrame, anchor_blocks: int, phase: str) -> DataFrame:
     """Cogroup row blocks with anchor blocks; each anchor walks its cluster's list."""
     row_blocks = max(1, -(-rows.count() // ROW_BLOCK))
     r = rows.withColumn("rblock", F.pmod(F.xxhash64("vec_id"), F.lit(row_blocks))).withColumn(
-        "ablock", F.explode(F.sequence(F.lit(0), F.lit(anchor_blocks - 1)))
+        "ablock", _all_blocks(anchor_blocks)
     )
-    a = anchors.withColumn("rblock", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
-    schema = "akey long, anchor_id long, positive_id long, positive_score long, found_id long, score long"
+    a = anchors.withColumn("rblock", _all_blocks(row_blocks))
+    columns = ["akey", "anchor_id", "place", "positive_id", "positive_score", "found_id", "score"]
+    schema = ", ".join(f"{c} long" for c in columns)
 
     def run(rp: pd.DataFrame, ap: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -177,11 +189,12 @@ def _search(rows: DataFrame, anchors: DataFrame, anchor_blocks: int, phase: str)
                 ub = _bounds(rq, aq[pos])
                 order = np.argsort(-ub, kind="stable")
                 for j, row in zip(pos, members.itertuples(index=False)):
-                    wanted = None if phase == "positives" else list(zip(row.positive_ids, row.positive_scores))
+                    wanted = None
+                    if phase != "positives":
+                        wanted = list(zip(range(POSITIVES), row.positive_ids, row.positive_scores))
                     for goal, found, s in _walk(rq, rid, rlabel, order, ub, aq[j], row.vec_id, row.label, wanted):
-                        pid, ps = (0, 0) if goal is None else goal  # positives: no goal yet
-                        out.append((row.akey, row.vec_id, pid, ps, found, s))
-        return pd.DataFrame(out, columns=["akey", "anchor_id", "positive_id", "positive_score", "found_id", "score"])
+                        out.append((row.akey, row.vec_id, *(goal or (0, 0, 0)), found, s))  # positives: no goal yet
+        return pd.DataFrame(out, columns=columns)
 
     return r.groupBy("rblock", "ablock").cogroup(a.groupBy("rblock", "ablock")).applyInPandas(run, schema)
 
@@ -235,7 +248,7 @@ def mine(vectors: DataFrame) -> DataFrame:
     )
     with_pos = store(with_pos, "hardneg-positives")
     local = _search(rows, with_pos, anchor_blocks, "negatives")
-    ranked = Window.partitionBy("akey", "positive_id").orderBy(F.desc("score"), "found_id")
+    ranked = Window.partitionBy("akey", "place").orderBy(F.desc("score"), "found_id")
     return local.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= NEGATIVES).select(
         "anchor_id", "positive_id", "rank", F.col("found_id").alias("negative_id"), "positive_score",
         F.col("score").alias("negative_score"),

@@ -186,6 +186,61 @@ def test_hard_negatives_against_sql(spark, monkeypatch, blocks):
     pd.testing.assert_frame_equal(a, b)
 
 
+def plain_negatives(rows: list[tuple]) -> list[tuple]:
+    """The contract over (vec_id, vector, label) in Python's integers; all rows valid and different."""
+    rows = [(i, [math.floor(256 * x) for x in v], (y + 1) % 10 if i % 7 == 0 else y) for i, v, y in rows]
+    out = []
+    for i, q, y in rows:
+        if i % 100:
+            continue
+        ranked = sorted((-sum(a * b for a, b in zip(q, w)), j, z) for j, w, z in rows)
+        for ps, p in [(-s, j) for s, j, z in ranked if z == y and j != i][:5]:
+            fit = [(-s, j) for s, j, z in ranked if z != y and 80 * ps <= -100 * s <= 100 * ps][:5]
+            out += [(i, p, k, j, ps, s) for k, (s, j) in enumerate(fit, 1)]
+    return sorted(out)
+
+
+def mined(spark, rows: list[tuple]) -> list[tuple]:
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int").repartition(3)
+    return sorted(tuple(r) for r in hardneg.mine(df).collect())
+
+
+def test_hard_negatives_in_many_partitions(spark, monkeypatch):
+    """Row and anchor blocks meet also where their partitions stay apart."""
+    monkeypatch.setattr(hardneg, "ROW_BLOCK", 40)
+    monkeypatch.setattr(hardneg, "ANCHOR_BLOCK", 2)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4).tolist(), int(i % 3)) for i in [*range(150), *range(200, 900, 100)]]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        got = mined(spark, rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == plain_negatives(rows) and len(got) > 100
+
+
+def test_hard_negatives_of_large_components(spark):
+    """Scores whose hundredfold is beyond 64 bits, anchors of almost one direction."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=8) * 2e6
+    rows = [(100 * i, (base + rng.normal(size=8)).tolist(), i % 2) for i in range(20)]
+    rows += [(i, (base * rng.uniform(0.8, 1) + rng.normal(size=8) * 1e5).tolist(), i % 3) for i in range(1, 90)]
+    got = mined(spark, rows)
+    assert got == plain_negatives(rows) and len(got) > 100
+
+
+def test_hard_negatives_of_repeated_ids(spark):
+    """Two positives of one id keep a list of negatives each."""
+    rows = [(0, [1.0, 0.0], 5), (3, [1.0, 0.5], 6), (3, [0.95, 0.1], 6)]  # label 5 of id 0 moves to 6
+    rows += [(22 + i, [0.8 + i / 40, 0.1], 2) for i in range(6)]
+    got = mined(spark, rows)
+    assert got == plain_negatives(rows)
+    assert len({r[4] for r in got if r[1] == 3}) == 2
+
+
 def test_op13_query_against_sql(spark):
     got = corpus.op13_hard_negatives(spark, SF).toPandas()
     con = duckdb.connect()
