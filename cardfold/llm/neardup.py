@@ -37,7 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cardfold.llm.common import byte_texts, slices, small, store
+from cardfold.llm.common import byte_texts, slices, small, small_batches, store
 
 SHINGLE = 5
 HASHES = 128
@@ -316,7 +316,8 @@ def link_classes(
     members = store(keys.join(once, "key"), "buckets")
     ids = small(store(members.select("id").distinct(), "candidates"))
     sigs = store(reps.select("id", "sig").join(ids, "id", "left_semi"), "signatures")
-    texts = store(texts.join(ids, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    texts = texts.join(ids, "id", "left_semi").dropDuplicates(["id"])
+    texts = store(texts.withColumn("size", F.octet_length("text")), "texts")
 
     # Every candidate against the smallest id of all its buckets: at most one pair each.
     lead = members.groupBy("key").agg(F.min("id").alias("center"))
@@ -331,11 +332,12 @@ def link_classes(
     else:
         members = members.join(roots.withColumnRenamed("node", "id"), "id", "left")
         members = members.select("key", "id", F.coalesce("root", "id").alias("root"))
-    members = members.join(texts, "id").join(sigs, "id")
-    size = F.octet_length("text")
-    parts = F.ceil(F.greatest(F.count("*") / block_rows, F.sum(size) / block_bytes)).cast("int")
-    open_keys = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), parts.alias("parts"))
+    parts = F.ceil(F.greatest(F.count("*") / block_rows, F.sum("size") / block_bytes)).cast("int")
+    sized = members.join(texts.select("id", "size"), "id")
+    open_keys = sized.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), parts.alias("parts"))
+    # Only members of open buckets get their text and signature.
     members = members.join(open_keys.where("low < high").select("key", "parts"), "key")
+    members = members.join(texts.select("id", "text"), "id").join(sigs, "id")
     own = F.pmod(F.xxhash64("id"), "parts").cast("int")
     # A block meets every block of its bucket once: pair (i, i) is a block tested within.
     members = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -361,11 +363,12 @@ def near_duplicates(
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kinds = "id bigint, n_shingles bigint, set_key binary, sig binary, bands array<bigint>"
-    sketches = store(texts.mapInArrow(_sketch, kinds), "sketches")
-    linked = sketches.where("id is not null and set_key is not null")
-    classes = store(linked.groupBy("set_key").agg(F.min("id").alias("rep")), "classes")
-    reps = linked.select("id", "sig", "bands").join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-    roots = link_classes(reps, texts, percent, miss)
+    with small_batches(docs.sparkSession):
+        sketches = store(texts.mapInArrow(_sketch, kinds), "sketches")
+        linked = sketches.where("id is not null and set_key is not null")
+        classes = store(linked.groupBy("set_key").agg(F.min("id").alias("rep")), "classes")
+        reps = linked.select("id", "sig", "bands").join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
+        roots = link_classes(reps, texts, percent, miss)
     named = classes.withColumn("component_id", F.col("rep"))
     if roots is not None:
         named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")

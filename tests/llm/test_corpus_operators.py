@@ -280,3 +280,27 @@ def test_pipeline_runs_whole(spark):
     sources = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id").toPandas().doc_id
     assert 0 < rows.doc_id.nunique() < len(sources) and set(rows.doc_id) <= set(sources)
     assert all(zlib.crc32(b"") != c for c in rows.ids_crc32) and hashlib.sha256(b"").hexdigest()
+
+
+def test_neardup_holds_few_texts_outside_the_heap(spark, monkeypatch):
+    """Python gets small batches in any session, and texts are read once for the open buckets."""
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join([*words, *(f"x{i}y{j}" for j in range(3))])) for i in range(6)]
+    docs += [(10, " ".join(f"z{j}" for j in range(40))), (11, None)]
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+
+    def spied(df, label, store=neardup.store):
+        seen.append((label, int(spark.conf.get(key)), df._jdf.queryExecution().sparkPlan().toString().count("text:string")))
+        return store(df, label)
+
+    monkeypatch.setattr(neardup, "store", spied)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+        assert spark.conf.get(key) == "10000"
+    finally:
+        spark.conf.set(key, before)
+    assert {r.doc_id: r.component_id for r in got} == {**dict.fromkeys(range(6), 0), 10: 10, 11: 11}
+    assert max(rows for _, rows, _ in seen) <= 512
+    assert [texts for label, _, texts in seen if label == "found"][-1] == 1
