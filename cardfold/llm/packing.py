@@ -34,7 +34,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cardfold.llm.common import slices, store
+from cardfold.llm.common import slices, small_batches, store
 
 CAPACITY = 2048
 GROUPS = 1024
@@ -322,7 +322,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, smal
     """``pieces`` with sequence_id and offset: places in sequences of ``capacity``."""
     spark = pieces.sparkSession
     tie = ["id", "piece", "ids_crc32"]
-    pieces = store(pieces, "pieces")
+    with small_batches(pieces.sparkSession):
+        pieces = store(pieces, "pieces")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     large = {k: n for k, n in counts.items() if k > small}
     smalls = {k: n for k, n in counts.items() if k <= small}

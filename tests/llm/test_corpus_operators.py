@@ -304,3 +304,20 @@ def test_neardup_holds_few_texts_outside_the_heap(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == {**dict.fromkeys(range(6), 0), 10: 10, 11: 11}
     assert max(rows for _, rows, _ in seen) <= 512
     assert [texts for label, _, texts in seen if label == "found"][-1] == 1
+
+
+def test_tokenizing_holds_few_texts_outside_the_heap(spark, docs, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+
+    def spied(df, label, store=packing.store):
+        seen[label] = int(spark.conf.get(key))
+        return store(df, label)
+
+    monkeypatch.setattr(packing, "store", spied)
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        packing.pack(packing.tokenized_pieces(docs, tokenizer_path()))
+        assert seen["pieces"] <= 512 and spark.conf.get(key) == "10000"
+    finally:
+        spark.conf.set(key, before)
